@@ -27,7 +27,7 @@ CELLS = 512
 def estimated_bytes(df: DataFrame) -> int | None:
     """The optimizer's size estimate, or None where the session does not show it."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # e.g. a remote session
         return None
 

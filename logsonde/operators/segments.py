@@ -18,7 +18,7 @@ from logsonde.schema import ANOMALY_CODES, FAILURE_CODES, MODEL_FEATURES
 K_VALUES = (3, 5, 8)
 STARTS = 10
 SEED = 42
-PARALLEL_FITS = 4
+PARALLEL_FITS = 8
 SHARES = {
     "pct_IsAnomaly": lambda df: F.col("IsAnomaly").cast("double"),
     "pct_EventCode_500_501": lambda df: F.coalesce(F.col("EventCode").isin(FAILURE_CODES), F.lit(False)).cast("int"),

@@ -296,6 +296,11 @@ _add(
 
 # -- root cause -----------------------------------------------------------------------------
 
+
+def _systems(t: DataFrame) -> DataFrame:
+    return rca.systems(rca.mark(t))
+
+
 _add("rca_pick", rca.pick)
 _add(
     "rca_timeline",
@@ -312,14 +317,14 @@ _add(
 )
 _add(
     "rca_first_problem",
-    lambda t: rca.first_problem(rca.mark(t)).select(
+    lambda t: rca.first_problem(_systems(t)).select(
         "CorrelationId",
         "first_problem_system",
         F.coalesce("first_problem_step", F.lit(-1)).alias("first_problem_step"),
     ),
 )
-_add("rca_victims", lambda t: rca.victims(rca.mark(t)))
-_add("rca_evidence", lambda t: rca.evidence(rca.mark(t)))
+_add("rca_victims", lambda t: rca.victims(rca.path(rca.mark(t)), _systems(t)))
+_add("rca_evidence", lambda t: rca.evidence(_systems(t)))
 _add(
     "rca_pre_events",
     lambda t: rca.pre_events(rca.mark(t)).select("CorrelationId", "back", "EventSeq", "SourceSystem"),
@@ -327,26 +332,26 @@ _add(
 _add("rca_deviations", lambda t: rca.deviations(rca.mark(t)))
 _add(
     "rca_diagnosis",
-    lambda t: rca.diagnosis(rca.mark(t)).select(
+    lambda t: rca.diagnosis(_systems(t)).select(
         "CorrelationId",
         "SourceSystem",
         "problem_events",
-        F.coalesce("rank", F.lit(0)).alias("rank"),
+        F.coalesce("rank", F.lit(1)).alias("rank"),
         F.coalesce("reason", F.lit("none")).alias("reason"),
         F.coalesce("z", F.lit(0.0)).alias("z"),
         F.coalesce("n", F.lit(0)).alias("n"),
     ),
 )
-_add("rca_flags", lambda t: rca.flag_counts(rca.mark(t)))
+_add("rca_flags", lambda t: rca.flag_counts(_systems(t)))
 _add("rca_pre_level", lambda t: rca.pre_levels(rca.pre_summary(rca.mark(t))))
 _add("rca_pre_rise", lambda t: rca.pre_rises(rca.pre_summary(rca.mark(t))))
 _add(
     "rca_pre_flags",
     lambda t: rca.assessment(rca.mark(t)).filter("kind IN ('flag', 'retries', 'none', 'sudden')"),
 )
-_add("rca_recommend", lambda t: rca.recommendations(rca.mark(t)))
-_add("rca_watch", lambda t: rca.watch_list(rca.mark(t)))
-_add("rca_roles", lambda t: rca.roles(rca.mark(t)))
+_add("rca_recommend", lambda t: rca.recommendations(_systems(t)))
+_add("rca_watch", lambda t: rca.watch_list(_systems(t)))
+_add("rca_roles", lambda t: rca.roles(_systems(t)))
 
 
 @_on_telemetry("rca_report")
