@@ -24,3 +24,14 @@ def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     path = path or f"{shared_folder(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def fix_row(df: DataFrame) -> DataFrame:
+    """A one-row frame of statistics, computed now and kept as a literal row.
+
+    Everything that uses it afterwards plans it as a constant instead of computing it again.
+    """
+    rows = df.limit(2).collect()
+    if len(rows) != 1:
+        raise ValueError(f"expected one row of statistics, got {len(rows)}")
+    return df.sparkSession.createDataFrame(rows, df.schema)

@@ -127,21 +127,25 @@ def top_scenarios(df: DataFrame, flagged: str = "IF_Anomaly", n: int = TOP_SCENA
     )
 
 
-def reasons(df: DataFrame, flagged: str = "IF_Anomaly", method: str = "auto") -> DataFrame:
-    """Flagged rows with `reasons`: the two metrics farthest from the median, in IQRs, else other."""
-    stats = quantiles(df, list(REASON_METRICS), [0.25, 0.5, 0.75], method).select(
-        *[
-            F.struct(
-                F.col(m)[1].alias("median"), F.nullif(F.col(m)[2] - F.col(m)[0], F.lit(0.0)).alias("iqr")
-            ).alias(f"{m}__s")
-            for m in REASON_METRICS
-        ]
-    )
+def reasons(
+    df: DataFrame, flagged: str = "IF_Anomaly", method: str = "auto", stats: DataFrame | None = None
+) -> DataFrame:
+    """Flagged rows with `reasons`: the two metrics farthest from the median, in IQRs, else other.
+
+    `stats` is a known row of `<metric>__median` and `<metric>__iqr`.
+    """
+    if stats is None:
+        q = quantiles(df, list(REASON_METRICS), [0.25, 0.5, 0.75], method)
+        stats = q.select(
+            *[F.col(m)[1].alias(f"{m}__median") for m in REASON_METRICS],
+            *[F.nullif(F.col(m)[2] - F.col(m)[0], F.lit(0.0)).alias(f"{m}__iqr") for m in REASON_METRICS],
+        )
+    stats = stats.select(*[f"{m}__{s}" for m in REASON_METRICS for s in ("median", "iqr")])
     ranked = F.array_sort(
         F.array(
             *[
                 F.struct(
-                    (-F.coalesce(F.abs((to_number(m) - F.col(f"{m}__s.median")) / F.col(f"{m}__s.iqr")), F.lit(0.0))).alias("z"),
+                    (-F.coalesce(F.abs((to_number(m) - F.col(f"{m}__median")) / F.col(f"{m}__iqr")), F.lit(0.0))).alias("z"),
                     F.lit(i).alias("i"),
                     F.lit(label).alias("label"),
                 )
@@ -158,12 +162,14 @@ def reasons(df: DataFrame, flagged: str = "IF_Anomaly", method: str = "auto") ->
     )
 
 
-def reason_counts(df: DataFrame, flagged: str = "IF_Anomaly", method: str = "auto") -> DataFrame:
+def reason_counts(
+    df: DataFrame, flagged: str = "IF_Anomaly", method: str = "auto", stats: DataFrame | None = None
+) -> DataFrame:
     """For each of the top scenarios its most frequent reasons: (Scenario, rank, reason, events)."""
     top = top_scenarios(df, flagged).select("Scenario")
     order = W.partitionBy("Scenario").orderBy(F.desc("events"), "reason")
     return (
-        reasons(df, flagged, method)
+        reasons(df, flagged, method, stats)
         .join(F.broadcast(top), "Scenario", "left_semi")
         .select("Scenario", F.explode("reasons").alias("reason"))
         .groupBy("Scenario", "reason")

@@ -14,6 +14,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from logsonde.functions.shipping import ship_package
+
 # Fixed values of the model.
 TREES = 100
 SAMPLE = 256
@@ -125,6 +127,7 @@ def fit(
     seed: int = SEED,
 ) -> Forest:
     """Fit on rows of `df`; `key` is unique and fixes the samples."""
+    ship_package(df.sparkSession)
     samples = tree_samples(df, features, key, trees, sample, seed)
     names = list(features)
 
@@ -165,6 +168,7 @@ def fit(
 
 def with_score(df: DataFrame, forest: Forest, name: str) -> DataFrame:
     """`df` with the anomaly score of the forest in column `name`."""
+    ship_package(df.sparkSession)
     sent = df.sparkSession.sparkContext.broadcast(forest)
 
     @F.pandas_udf("double")

@@ -35,12 +35,17 @@ def with_valid_time(df: DataFrame) -> DataFrame:
     return as_timestamp(df, "Timestamp").filter("Timestamp IS NOT NULL")
 
 
-def thresholds(df: DataFrame, method: str = "auto") -> DataFrame:
-    """One row: median, mean and sample standard deviation of each metric of the rules."""
+def thresholds(df: DataFrame, method: str = "auto", medians: DataFrame | None = None) -> DataFrame:
+    """One row: median, mean and sample standard deviation of each metric of the rules.
+
+    `medians` is a known row of `<metric>__median`, as of the root-cause statistics.
+    """
     df = with_valid_time(df)
-    medians = quantiles(df, [r.metric for r in RULES], [0.5], method).select(
-        *[F.col(r.metric)[0].alias(f"{r.name}_median") for r in RULES]
-    )
+    if medians is None:
+        medians = quantiles(df, [r.metric for r in RULES], [0.5], method).select(
+            *[F.col(r.metric)[0].alias(f"{r.metric}__median") for r in RULES]
+        )
+    medians = medians.select(*[F.col(f"{r.metric}__median").alias(f"{r.name}_median") for r in RULES])
     moments = df.agg(
         *[
             f(to_number(r.metric)).alias(f"{r.name}_{s}")
