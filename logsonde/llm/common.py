@@ -6,12 +6,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from logsonde.functions.shipping import ship_package
 from logsonde.functions.storage import materialize, shared_folder
 
-__all__ = ["components", "in_tasks", "materialize", "part_starts", "runs_of", "shared_folder", "table", "words"]
+__all__ = ["components", "in_tasks", "map_texts", "materialize", "part_starts", "runs_of", "shared_folder", "table", "words"]
+
+#: Rows of an Arrow batch that are taken as Python strings at a time.
+SLICE_ROWS = 512
 
 #: Byte to byte: A-Z to a-z; digits, a-z and all bytes of non-ASCII characters stay; the rest becomes a space.
 WORD_BYTES = bytes(
@@ -34,6 +39,31 @@ def in_tasks(df: DataFrame, function, schema: str) -> DataFrame:
     return df.mapInPandas(function, schema)
 
 
+def map_texts(df: DataFrame, make, added: T.StructType, keep: list[str], text: str = "text") -> DataFrame:
+    """Columns computed from a text column, beside the columns `keep`, which pass through unchanged as Arrow.
+
+    `make()` runs once in each task and returns a function from a list of texts (None where null) to one list of
+    values for each field of `added`. An added field replaces a kept column of its name.
+    """
+    ship_package(df.sparkSession)
+    kept = [c for c in keep if c not in added.fieldNames()]
+    schema = T.StructType([*[df.schema[c] for c in kept], *added.fields])
+    kinds = [to_arrow_type(f.dataType) for f in added.fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        function = make()
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE_ROWS):
+                batch = whole.slice(at, SLICE_ROWS)
+                values = function(batch.column(batch.schema.get_field_index("__text")).to_pylist())
+                arrays = [batch.column(batch.schema.get_field_index(f"__{i}")) for i in range(len(kept))]
+                arrays += [pa.array(v, type=t) for v, t in zip(values, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, names=schema.fieldNames())
+
+    renamed = [F.col(f"`{c}`").alias(f"__{i}") for i, c in enumerate(kept)]
+    return df.select(F.col(f"`{text}`").alias("__text"), *renamed).mapInArrow(run, schema)
+
+
 def runs_of(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
     """The runs of rows with equal `keys`, each whole, from batches that are sorted by them."""
     held: list[pd.DataFrame] = []
@@ -96,7 +126,3 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )
-
-
-def null_safe(*columns: str) -> list[Column]:
-    return [F.col(c) for c in columns]

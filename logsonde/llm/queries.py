@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logsonde.llm.common import shared_folder, table
+from logsonde.llm.decontamination import find_items
+from logsonde.llm.packing import pack
 from logsonde.llm.placement import Tree, place
 from logsonde.llm.token_ids import tokenizer_path
 from logsonde.llm.token_output import read_tokens, write_tokens
@@ -23,6 +25,55 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document and its place in a sequence of 2048 tokens."""
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path(WORD_TOKENIZER), end_id=0, capacity=2048)
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every document, how many of its words are in a run of benchmark words, and of which items."""
+    found = find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
+#: Every window of every item against every window of every document, of all lengths that item windows have.
+OP4_SQL = r"""
+WITH item AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL
+), item_window AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS run
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM item WHERE len(w) > 0)
+), doc AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), doc_window AS (
+  SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS run
+  FROM (SELECT r, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM doc, (SELECT DISTINCT n FROM item_window))
+), hit AS (
+  SELECT d.r, d.i, d.n, w.item_id FROM doc_window d JOIN item_window w ON d.n = w.n AND d.run = w.run
+), hit_words AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hit) GROUP BY r
+), hit_items AS (
+  SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM hit) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
+"""
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards by key, and where each goes with a shard more."""
     tree = Tree.even(SHARDS)
@@ -34,7 +85,9 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": op1_token_output,
+    "op2_packing": op2_packing,
+    "op4_decontamination": op4_decontamination,
     "op8_sharding": op8_sharding,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_decontamination": OP4_SQL}
