@@ -13,7 +13,10 @@ from pyspark.sql.pandas.types import to_arrow_type
 from logsonde.functions.shipping import ship_package
 from logsonde.functions.storage import materialize, shared_folder
 
-__all__ = ["components", "in_tasks", "map_texts", "materialize", "part_starts", "runs_of", "shared_folder", "table", "words"]
+__all__ = [
+    "components", "dealt_in_blocks", "in_tasks", "local_roots", "map_texts", "materialize", "part_starts", "runs_of",
+    "shared_folder", "table", "words",
+]
 
 #: Rows of an Arrow batch that are taken as Python strings at a time.
 SLICE_ROWS = 512
@@ -64,28 +67,66 @@ def map_texts(df: DataFrame, make, added: T.StructType, keep: list[str], text: s
     return df.select(F.col(f"`{text}`").alias("__text"), *renamed).mapInArrow(run, schema)
 
 
-def runs_of(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """The runs of rows with equal `keys`, each whole, from batches that are sorted by them."""
-    held: list[pd.DataFrame] = []
+def runs_of(batches: Iterator[pd.DataFrame], keys: list[str], least: int = 2) -> Iterator[dict[str, np.ndarray]]:
+    """The runs of at least `least` rows with equal `keys` (integers, no nulls), each whole, from sorted batches."""
+    held: list[dict[str, np.ndarray]] = []
     last = None
+
+    def whole() -> dict[str, np.ndarray]:
+        return held[0] if len(held) == 1 else {c: np.concatenate([h[c] for h in held]) for c in held[0]}
+
     for batch in batches:
         if batch.empty:
             continue
-        codes = [batch[k].to_numpy() for k in keys]
-        cuts = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in codes])) + 1
-        first = tuple(c[0] for c in codes)
-        if held and first != last:
-            yield pd.concat(held, ignore_index=True) if len(held) > 1 else held[0]
+        columns = {c: batch[c].to_numpy() for c in batch.columns}
+        codes = np.stack([columns[k].astype(np.int64) for k in keys])
+        edges = [0, *(np.flatnonzero((codes[:, 1:] != codes[:, :-1]).any(0)) + 1).tolist(), codes.shape[1]]
+        if held and tuple(codes[:, 0]) != last:
+            if sum(len(h[keys[0]]) for h in held) >= least:
+                yield whole()
             held = []
-        edges = [0, *cuts.tolist(), len(batch)]
-        for a, b in zip(edges[:-1], edges[1:], strict=True):
-            held.append(batch.iloc[a:b])
-            if b < len(batch):
-                yield pd.concat(held, ignore_index=True) if len(held) > 1 else held[0].reset_index(drop=True)
+        for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+            ends = b == codes.shape[1]
+            if b - a >= least or (held and i == 0) or ends:
+                held.append({c: v[a:b] for c, v in columns.items()})
+            if not ends:
+                if held and sum(len(h[keys[0]]) for h in held) >= least:
+                    yield whole()
                 held = []
-        last = tuple(c[-1] for c in codes)
-    if held:
-        yield pd.concat(held, ignore_index=True)
+        last = tuple(codes[:, -1])
+    if held and sum(len(h[keys[0]]) for h in held) >= least:
+        yield whole()
+
+
+def dealt_in_blocks(rows: DataFrame, counts: DataFrame, keys: list[str], node: str, block: int) -> DataFrame:
+    """`rows` for pairwise work within `keys`, no task getting more than about two blocks of a group.
+
+    A group with more than `block` rows in `counts` (keys, n) is dealt by hash of `node` into blocks, and each pair of blocks
+    becomes a group (keys, `block_a` <= `block_b`) of its own, so a row is copied once for each block of its group. Rows come
+    partitioned and sorted by keys, block_a, block_b and node; `own_block` tells the row's block.
+    """
+    large = counts.where(F.col("n") > block).select(*keys, F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    joined = rows.join(large, keys, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    own = joined.withColumn("own_block", F.pmod(F.xxhash64(node), F.col("blocks")).cast("int"))
+    other = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
+    copies = own.withColumn("other", F.explode(other))
+    copies = copies.withColumns(
+        {"block_a": F.least("own_block", "other"), "block_b": F.greatest("own_block", "other")}
+    ).drop("other", "blocks")
+    order = [*keys, "block_a", "block_b"]
+    return copies.repartition(*order).sortWithinPartitions(*order, node)
+
+
+def local_roots(linked: np.ndarray) -> np.ndarray:
+    """For each row of a symmetric boolean matrix the smallest row that links lead to."""
+    root = np.arange(len(linked))
+    linked = linked | np.eye(len(linked), dtype=bool)
+    while True:
+        low = np.where(linked, root[None, :], len(root)).min(1)
+        low = low[low]
+        if (low == root).all():
+            return root
+        root = low
 
 
 def part_starts(counts: DataFrame, part: str, n: str, by: list[str] | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from logsonde.llm.common import shared_folder, table
 from logsonde.llm.decontamination import find_items
+from logsonde.llm.embedding_links import embedding_links
 from logsonde.llm.packing import pack
 from logsonde.llm.placement import Tree, place
 from logsonde.llm.token_ids import tokenizer_path
@@ -83,11 +84,17 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every vector, its links of cosine 0.93 or more within its label, and the component that they make."""
+    return embedding_links(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": op1_token_output,
     "op2_packing": op2_packing,
     "op4_decontamination": op4_decontamination,
     "op8_sharding": op8_sharding,
+    "op9_embedding_links": op9_embedding_links,
 }
 
 ORACLES: dict[str, str] = {"op4_decontamination": OP4_SQL}
