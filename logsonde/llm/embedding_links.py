@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from logsonde.llm.common import components, dealt_in_blocks, in_tasks, local_roots, materialize, runs_of
 
@@ -24,11 +24,15 @@ BLOCK = 1024
 
 @dataclass
 class Filters:
-    """`words` * `words` directions; a random vector passes `passes` of them on average."""
+    """`words` * `words` directions; a random vector passes `passes` of them on average, and each at least `least`.
+
+    A vector that few directions are near to lowers its own bar until it has `least` (at most `words`).
+    """
 
     dimension: int
     words: int = 128
     passes: float = 18.0
+    least: int = 24
     seed: int = 7
     turn: np.ndarray = field(init=False)
 
@@ -44,13 +48,17 @@ class Filters:
         self.bar = float(np.quantile(scores, 1 - self.passes / self.words**2))
 
     def decode(self, unit: np.ndarray) -> list[np.ndarray]:
-        """The numbers of the filters of each row; a row that passes none gets its best one."""
+        """The numbers of the filters of each row."""
         if self.dimension < 4:  # too few directions to tell vectors apart: one filter, compared in blocks
             return [np.zeros(1, np.int32)] * len(unit)
         turned = unit @ self.turn
         a, b = turned[:, : self.half] @ self.first, turned[:, self.half :] @ self.second
         most_a, most_b = a.max(1), b.max(1)
-        bar = np.minimum(self.bar, most_a + most_b)
+        # The `least` highest sums are made of the `least` highest of either half.
+        k = min(self.least, self.words)
+        top_a, top_b = (-np.partition(-s, k - 1, axis=1)[:, :k] for s in (a, b))
+        own = (top_a[:, :, None] + top_b[:, None, :]).reshape(len(unit), -1)
+        bar = np.minimum(self.bar, -np.partition(-own, k - 1, axis=1)[:, k - 1])
         out = []
         for i in range(len(unit)):
             left = np.flatnonzero(a[i] >= bar[i] - most_b[i])
@@ -70,7 +78,7 @@ def unit_rows(vectors: list[np.ndarray]) -> np.ndarray:
     return _unit(rows / np.abs(rows).max(1, keepdims=True))
 
 
-def embedding_links(rows: DataFrame, threshold: float = 0.93, words: int = 128, passes: float = 18.0) -> DataFrame:
+def embedding_links(rows: DataFrame, threshold: float = 0.93, words: int = 128, passes: float = 18.0, least: int = 24) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of `rows` (vec_id long, embedding array, label).
 
     Links join vectors of one label and dimension whose cosine, in double precision, is at least `threshold`. `n_links` counts the
@@ -100,6 +108,8 @@ def embedding_links(rows: DataFrame, threshold: float = 0.93, words: int = 128,
         .agg(F.min("vec_id").alias("node"), F.count("*").alias("weight"), F.first("embedding").alias("embedding"))
     )
     classes = materialize(classes, "vector-classes")
+    single = isinstance(rows.schema["embedding"].dataType.elementType, T.FloatType)
+    kind = np.float32 if single else np.float64  # how a vector travels: without loss
     label_key = F.xxhash64("label", "dimension").alias("label_key")
     labelled = classes.select(label_key, "node", "weight", "embedding")
 
@@ -112,7 +122,7 @@ def embedding_links(rows: DataFrame, threshold: float = 0.93, words: int = 128,
                 sizes = batch["embedding"].map(len).to_numpy()
                 for d in np.unique(sizes):
                     own = np.flatnonzero(sizes == d)
-                    filters = known.setdefault(int(d), Filters(int(d), words, passes))
+                    filters = known.setdefault(int(d), Filters(int(d), words, passes, least))
                     for i, f in zip(own, filters.decode(unit_rows(list(batch["embedding"].iloc[own]))), strict=True):
                         lists[i] = f.tobytes()
                 yield pd.DataFrame(
@@ -120,7 +130,7 @@ def embedding_links(rows: DataFrame, threshold: float = 0.93, words: int = 128,
                         "label_key": batch["label_key"].to_numpy(),
                         "node": batch["node"].to_numpy(),
                         "weight": batch["weight"].to_numpy(),
-                        "vector": [np.asarray(v, np.float64).tobytes() for v in batch["embedding"]],
+                        "vector": [np.asarray(v, kind).tobytes() for v in batch["embedding"]],
                         "filters": lists,
                         "filter": [np.frombuffer(f, np.int32) for f in lists],
                     }
@@ -136,7 +146,7 @@ def embedding_links(rows: DataFrame, threshold: float = 0.93, words: int = 128,
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out: list[np.ndarray] = []
         for run in runs_of(batches, [*group, "block_a", "block_b"]):
-            found = _compare(run, threshold)
+            found = _compare(run, threshold, kind)
             if found is not None:
                 out.append(found)
             if len(out) > 2000:
@@ -166,11 +176,11 @@ def embedding_links(rows: DataFrame, threshold: float = 0.93, words: int = 128,
     )
 
 
-def _compare(run: dict[str, np.ndarray], threshold: float) -> np.ndarray | None:
+def _compare(run: dict[str, np.ndarray], threshold: float, kind: type) -> np.ndarray | None:
     """(node, links counted here, smallest node reached) for the rows of one filter that are linked; None if none is."""
     order = np.argsort(run["node"], kind="stable")
     node, weight = run["node"][order], run["weight"][order]
-    unit = unit_rows([np.frombuffer(v, np.float64) for v in run["vector"][order]])
+    unit = unit_rows([np.frombuffer(v, kind) for v in run["vector"][order]])
     linked = unit @ unit.T >= threshold
     np.fill_diagonal(linked, False)
     if run["block_a"][0] != run["block_b"][0]:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from logsonde.llm.common import shared_folder, table
 from logsonde.llm.decontamination import find_items
 from logsonde.llm.embedding_links import embedding_links
+from logsonde.llm.ngram_join import ngram_links
 from logsonde.llm.packing import pack
 from logsonde.llm.placement import Tree, place
 from logsonde.llm.token_ids import tokenizer_path
@@ -75,6 +76,11 @@ FROM doc LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
 """
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every document, its class of equal shingle sets, its links of similarity 0.8 or more and their component."""
+    return ngram_links(table(spark, sf_dir, "documents"), threshold=0.8, shingle=5).drop("text_hash")
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards by key, and where each goes with a shard more."""
     tree = Tree.even(SHARDS)
@@ -93,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": op1_token_output,
     "op2_packing": op2_packing,
     "op4_decontamination": op4_decontamination,
+    "op6_ngram_join": op6_ngram_join,
     "op8_sharding": op8_sharding,
     "op9_embedding_links": op9_embedding_links,
 }
