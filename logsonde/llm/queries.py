@@ -13,6 +13,7 @@ from logsonde.llm.embedding_links import embedding_links
 from logsonde.llm.ngram_join import ngram_links
 from logsonde.llm.packing import pack
 from logsonde.llm.placement import Tree, place
+from logsonde.llm.quality import fit_quality, rate_quality
 from logsonde.llm.token_ids import tokenizer_path
 from logsonde.llm.token_output import read_tokens, write_tokens
 
@@ -76,6 +77,12 @@ FROM doc LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)
 """
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every document, the scorer's probability that it is junk or toxic, and whether it is kept."""
+    docs = table(spark, sf_dir, "documents")
+    return rate_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For every document, its class of equal shingle sets, its links of similarity 0.8 or more and their component."""
     return ngram_links(table(spark, sf_dir, "documents"), threshold=0.8, shingle=5).drop("text_hash")
@@ -99,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": op1_token_output,
     "op2_packing": op2_packing,
     "op4_decontamination": op4_decontamination,
+    "op5_quality": op5_quality,
     "op6_ngram_join": op6_ngram_join,
     "op8_sharding": op8_sharding,
     "op9_embedding_links": op9_embedding_links,
