@@ -12,11 +12,16 @@ from logsonde.llm.decontamination import find_items
 from logsonde.llm.embedding_links import embedding_links
 from logsonde.llm.ngram_join import ngram_links
 from logsonde.llm.packing import pack
+from logsonde.llm.personal_data import find_personal_data, fit_field
 from logsonde.llm.placement import Tree, place
 from logsonde.llm.quality import fit_quality, rate_quality
+from logsonde.llm.secrets_scan import scan_secrets
+from logsonde.llm.token_counts import count_tokens
 from logsonde.llm.token_ids import tokenizer_path
 from logsonde.llm.token_output import read_tokens, write_tokens
 
+BYTE_RANKS = "byte_bpe_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
 WORD_TOKENIZER = "word_bpe_49k.json"
 SHARDS = 16
 
@@ -33,6 +38,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path(WORD_TOKENIZER), end_id=0, capacity=2048)
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and unigram tokens of every document."""
+    return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(PIECES))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For every document, how many of its words are in a run of benchmark words, and of which items."""
     found = find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
@@ -88,6 +98,11 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_links(table(spark, sf_dir, "documents"), threshold=0.8, shingle=5).drop("text_hash")
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: counts and digest of the fixed forms, and all spans."""
+    return scan_secrets(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_RANKS))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards by key, and where each goes with a shard more."""
     tree = Tree.even(SHARDS)
@@ -102,14 +117,23 @@ def op9_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_links(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts and digest of the fixed forms, and all spans."""
+    docs = table(spark, sf_dir, "documents")
+    return find_personal_data(docs, fit_field(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": op1_token_output,
     "op2_packing": op2_packing,
+    "op3_token_counts": op3_token_counts,
     "op4_decontamination": op4_decontamination,
     "op5_quality": op5_quality,
     "op6_ngram_join": op6_ngram_join,
+    "op7_secrets": op7_secrets,
     "op8_sharding": op8_sharding,
     "op9_embedding_links": op9_embedding_links,
+    "op10_personal_data": op10_personal_data,
 }
 
 ORACLES: dict[str, str] = {"op4_decontamination": OP4_SQL}
