@@ -1,14 +1,10 @@
 """Exact quantiles that never gather the values of a metric in one task.
 
-`percentile` keeps every distinct value of its group in one aggregation buffer. That is right
-for a small table and impossible for a metric of many distinct doubles, so it is used only when
-the optimizer's size estimate is below a bound. Beyond it:
-
-1. one pass makes a sketch per metric (`percentile_approx`, bounded size) and reads from it a
-   bracket around each wanted quantile. The sketch's error is bounded, so the bracket holds it;
-2. one pass counts rows per value inside the brackets, and per gap outside them. Partial
-   aggregation keeps the shuffle to the distinct values of about 4/accuracy of the ranks;
-3. each bracket is cut into cells, a running count over the cells finds those that hold the wanted
+1. One pass makes a sketch per metric (`percentile_approx`, bounded size) and reads from it a
+   bracket around each wanted quantile. The sketch's error is bounded, so the bracket holds it.
+2. One pass counts rows per value inside the brackets, and per gap outside them. Partial
+   aggregation keeps the shuffle to the distinct values of about 4/accuracy of the ranks.
+3. Each bracket is cut into cells, a running count over the cells finds those that hold the wanted
    ranks, and only the values of these cells are ordered.
 """
 
@@ -20,43 +16,16 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from logsonde.functions.typing import to_number
 
-SMALL_BYTES = 64 * 1024 * 1024
 CELLS = 512
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate, or None where the session does not show it."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # e.g. a remote session
-        return None
-
-
-def quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probs: Sequence[float],
-    method: str = "auto",
-    accuracy: int = 10_000,
-) -> DataFrame:
-    """One row: for each of `columns` an array of its quantiles at `probs`.
+def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], accuracy: int = 10_000) -> DataFrame:
+    """One row: for each of `columns` an array of its exact quantiles at `probs`.
 
     Quantiles are interpolated linearly between the two nearest values; nulls are ignored, and a
-    metric without values gives an array of nulls. `method` is "auto", "single" (one exact
-    aggregate), "distributed" (exact at any size) or "approx".
+    metric without values gives an array of nulls. Infinite values are ordinary ends of the order.
     """
     base = df.select(*[to_number(c).alias(c) for c in columns])
-    if method == "auto":
-        size = estimated_bytes(base)
-        method = "single" if size is not None and size <= SMALL_BYTES else "distributed"
-    if method == "approx":
-        return base.agg(*[F.percentile_approx(c, list(probs), accuracy).alias(c) for c in columns])
-    if method == "single":
-        return base.agg(
-            *[F.percentile(c, F.array(*[F.lit(float(p)) for p in probs])).alias(c) for c in columns]
-        )
-    if method != "distributed":
-        raise ValueError(f"unknown quantile method {method!r}")
     return _distributed(base, list(columns), list(probs), accuracy)
 
 
@@ -132,7 +101,7 @@ def _distributed(base: DataFrame, columns: list[str], probs: list[float], accura
     )
     low, high = (F.max(F.when(F.col("side") == s, F.col("value"))) for s in (0, 1))
     per_prob = found.groupBy("metric", "i").agg(
-        (low + (high - low) * F.max("share")).alias("q")
+        F.when((F.max("share") == 0) | (low == high), low).otherwise(low + (high - low) * F.max("share")).alias("q")
     )
     return per_prob.agg(
         *[

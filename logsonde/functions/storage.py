@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -11,10 +13,18 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by the session; one of our own only where none is named, as in tests."""
+    """The folder named by the session.
+
+    Only a local session without one, such as in tests, gets a temporary folder, which goes at its end: on a cluster other machines
+    would not see it, so there the setting is asked for.
+    """
     folder = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="logsonde-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from logsonde.functions.typing import parse_timestamp, pick_time_column
+
 DAY_SECONDS = 86_400
 
 
@@ -43,11 +45,22 @@ def bucket_start(df: DataFrame, column: str, number: Column, seconds: int) -> Co
 
 
 def event_order(df: DataFrame, step: bool = True) -> Column:
-    """A struct that sorts events by time, scenario step and sequence number, nulls last."""
+    """A struct that sorts events by time, scenario step and sequence number, nulls last.
+
+    The time is that of the picked time column. A frame with neither a time nor a sequence number has no order.
+    """
     far_time, far_step = F.lit("9999-12-31 00:00:00"), F.lit(2**31 - 1)
     parts = []
-    if "Timestamp" in df.columns:
-        parts.append(F.coalesce("Timestamp", far_time.cast(df.schema["Timestamp"].dataType)).alias("time"))
+    time = pick_time_column(df)
+    if time is not None:
+        kind = df.schema[time].dataType
+        if not isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            kind, value = T.TimestampType(), parse_timestamp(time)
+        else:
+            value = F.col(time)
+        parts.append(F.coalesce(value, far_time.cast(kind)).alias("time"))
+    elif "EventSeq" not in df.columns:
+        raise ValueError("events have neither a time column nor EventSeq, so no order")
     if step and "ScenarioStepIndex" in df.columns:
         parts.append(F.coalesce("ScenarioStepIndex", far_step).alias("step"))
     if "EventSeq" in df.columns:
@@ -55,9 +68,13 @@ def event_order(df: DataFrame, step: bool = True) -> Column:
     return F.struct(*parts)
 
 
-def time_chunk(df: DataFrame, seconds: int = 600) -> Column:
-    """Number of the time chunk of an event; events without a time are in the last one.
+def time_chunk(df: DataFrame, seconds: int = 600, untimed: int = 100_000) -> Column:
+    """Number of the time chunk of an event; events without a time are in the last ones.
 
-    Chunks cut a group that holds very many events into parts that keep the order of events.
+    Chunks cut a group that holds very many events into parts that keep the order of events. Events without
+    a time are ordered by their sequence number alone, so they are cut by it, `untimed` numbers to a chunk.
     """
-    return F.coalesce(F.floor(epoch_seconds(df, "Timestamp") / seconds), F.lit(2**62))
+    time = pick_time_column(df)
+    seq = F.floor(F.col("EventSeq") / untimed) if "EventSeq" in df.columns else F.lit(0)
+    far = F.lit(2**62) + seq
+    return far if time is None else F.coalesce(F.floor(epoch_seconds(df, time) / seconds), far)

@@ -17,14 +17,18 @@ def to_number(column: Column | str) -> Column:
     return F.when(~F.isnan(number), number)
 
 
-def to_number_or_zero(column: Column | str) -> Column:
-    return F.coalesce(to_number(column), F.lit(0.0))
-
-
 def parse_timestamp(column: Column | str) -> Column:
-    """ISO-8601 text (blank padded, with or without zone) as TIMESTAMP, bad text as null."""
+    """ISO-8601 text (blank padded, with or without zone) as TIMESTAMP, bad text as null.
+
+    Text without a zone is UTC, whatever the session's zone.
+    """
     c = F.col(column) if isinstance(column, str) else column
-    return F.try_to_timestamp(F.trim(c.cast("string")))
+    text = F.trim(c.cast("string"))
+    zoned = text.rlike(r"(?i)[0-9](Z|UTC|GMT|[+-][0-9]{1,2}(:?[0-9]{2})?)$") & text.contains(":")
+    dated = text.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$")
+    return F.try_to_timestamp(
+        F.when(zoned, text).when(dated, F.concat(text, F.lit("T00:00:00Z"))).otherwise(F.concat(text, F.lit("Z")))
+    )
 
 
 def as_timestamp(df: DataFrame, column: str) -> DataFrame:
@@ -63,13 +67,15 @@ def with_numbers(df: DataFrame, names: Sequence[str], default: float | None = No
 
 
 def with_date_parts(df: DataFrame, column: str = "Timestamp") -> DataFrame:
-    """Hour of day and day of week with Monday as 0."""
-    return df.withColumns(
-        {
-            "TimestampHour": F.hour(column),
-            "TimestampDayOfWeek": F.weekday(column),
-        }
-    )
+    """Hour of day and day of week with Monday as 0, in UTC; a TIMESTAMP_NTZ is taken as UTC."""
+    c = F.col(column)
+    if isinstance(df.schema[column].dataType, T.TimestampNTZType):
+        hour, day = F.hour(c), F.weekday(c)
+    else:  # 1970-01-01 was a Thursday
+        seconds = F.unix_seconds(c)
+        hour = F.pmod(F.floor(seconds / 3600), F.lit(24)).cast("int")
+        day = F.pmod(F.floor(seconds / 86400) + 3, F.lit(7)).cast("int")
+    return df.withColumns({"TimestampHour": hour, "TimestampDayOfWeek": day})
 
 
 def ratio(numerator: Column, denominator: Column, otherwise: float = 0.0) -> Column:

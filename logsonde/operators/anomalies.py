@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
@@ -83,27 +85,45 @@ def contamination(df: DataFrame) -> DataFrame:
     )
 
 
+def moments(df: DataFrame, features: Sequence[str] = MODEL_FEATURES) -> dict[str, tuple[float, float]]:
+    """(mean, population standard deviation) of each mean-imputed feature, from one aggregate.
+
+    Imputing the mean keeps the mean and scales the variance by the share of known values. A deviation of 0 counts
+    as 1, a feature without values has mean 0.
+    """
+    known = [to_number(c) for c in features]
+    row = df.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[f(x).alias(f"{c}__{s}") for c, x in zip(features, known) for f, s in ((F.count, "n"), (F.avg, "mean"), (F.stddev_pop, "std"))],
+    ).first()
+    return {
+        c: (row[f"{c}__mean"] or 0.0, (row[f"{c}__std"] or 0.0) * math.sqrt(row[f"{c}__n"] / max(1, row["n"])) or 1.0)
+        for c in features
+    }
+
+
 def isolation_forest(
     df: DataFrame,
     features: Sequence[str] = MODEL_FEATURES,
     key: str = "EventSeq",
     out_path: str | None = None,
     seed: int = iforest.SEED,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """`df` with `IF_AnomalyScore` and `IF_Anomaly` (1 for the lowest `contamination` share).
 
-    The scored table is written once, to `out_path` or the shared folder: the cut-off and the result
-    are then two reads of it, and the Python scoring runs once.
+    The scores are written once, with the key and `columns` (all of `df` if not given), to `out_path` or the shared folder: the
+    cut-off and the result are then two reads of them, and the Python scoring runs once. Means and deviations come from one
+    aggregate and are constants afterwards.
     """
     share = contamination(df).first()["contamination"]
-    scaled = standardize(impute(df, features), features)
+    known = moments(df, features)
     names = [f"z_{c}" for c in features]
-    model = iforest.fit(scaled, names, key, seed=seed)
-    scores = iforest.with_score(scaled, model, "IF_AnomalyScore").drop(*names)
-    # Features keep the values they came with.
-    original = {c: df.schema[c].dataType for c in features}
-    scores = scores.withColumns({c: F.col(c).cast(t) for c, t in original.items()})
-    scored = materialize(scores, "anomaly-scores", out_path)
+    z = {f"z_{c}": (F.coalesce(to_number(c), F.lit(m)) - F.lit(m)) / F.lit(s) for c, (m, s) in known.items()}
+    kept = list(df.columns if columns is None else dict.fromkeys([key, *columns]))
+    model = iforest.fit(df.select(key, *[x.alias(n) for n, x in z.items()]), names, key, seed=seed)
+    scaled = df.select(*kept, *[x.alias(n) for n, x in z.items()])
+    scored = materialize(iforest.with_score(scaled, model, "IF_AnomalyScore").drop(*names), "anomaly-scores", out_path)
     cut = quantiles(scored, ["IF_AnomalyScore"], [share]).select(F.col("IF_AnomalyScore")[0].alias("cut"))
     return (
         scored.crossJoin(F.broadcast(cut))
@@ -128,14 +148,14 @@ def top_scenarios(df: DataFrame, flagged: str = "IF_Anomaly", n: int = TOP_SCENA
 
 
 def reasons(
-    df: DataFrame, flagged: str = "IF_Anomaly", method: str = "auto", stats: DataFrame | None = None
+    df: DataFrame, flagged: str = "IF_Anomaly", stats: DataFrame | None = None
 ) -> DataFrame:
     """Flagged rows with `reasons`: the two metrics farthest from the median, in IQRs, else other.
 
     `stats` is a known row of `<metric>__median` and `<metric>__iqr`.
     """
     if stats is None:
-        q = quantiles(df, list(REASON_METRICS), [0.25, 0.5, 0.75], method)
+        q = quantiles(df, list(REASON_METRICS), [0.25, 0.5, 0.75])
         stats = q.select(
             *[F.col(m)[1].alias(f"{m}__median") for m in REASON_METRICS],
             *[F.nullif(F.col(m)[2] - F.col(m)[0], F.lit(0.0)).alias(f"{m}__iqr") for m in REASON_METRICS],
@@ -163,13 +183,13 @@ def reasons(
 
 
 def reason_counts(
-    df: DataFrame, flagged: str = "IF_Anomaly", method: str = "auto", stats: DataFrame | None = None
+    df: DataFrame, flagged: str = "IF_Anomaly", stats: DataFrame | None = None
 ) -> DataFrame:
     """For each of the top scenarios its most frequent reasons: (Scenario, rank, reason, events)."""
     top = top_scenarios(df, flagged).select("Scenario")
     order = W.partitionBy("Scenario").orderBy(F.desc("events"), "reason")
     return (
-        reasons(df, flagged, method, stats)
+        reasons(df, flagged, stats)
         .join(F.broadcast(top), "Scenario", "left_semi")
         .select("Scenario", F.explode("reasons").alias("reason"))
         .groupBy("Scenario", "reason")

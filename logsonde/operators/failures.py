@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from logsonde.functions.scoring import confusion, with_scores
+from logsonde.functions.storage import materialize
 from logsonde.functions.time import bucket, bucket_start, event_order
 from logsonde.functions.typing import (
     as_timestamp,
@@ -24,6 +25,8 @@ QUIET_KINDS = ["Trace", "Audit", "Heartbeat"]
 BAD_PRIORITIES = ["ERR", "ERROR", "CRIT", "CRITICAL"]
 WINDOW_SECONDS = 300
 BAD_SHARE = 0.10
+# Windows that are broadcast at most, 16 bytes each.
+BROADCAST_WINDOWS = 1_000_000
 
 
 def thresholds(df: DataFrame) -> DataFrame:
@@ -66,7 +69,9 @@ def with_failure_window(
     if time is None or "EventCode" not in df.columns:
         return df.withColumn("FailureWindow", F.lit(False))
     df = as_timestamp(df, time)
-    bad = bad_windows(df, seconds, share).select("window_no", F.lit(True).alias("bad"))
+    bad = materialize(bad_windows(df, seconds, share).select("window_no", F.lit(True).alias("bad")), "bad-windows")
+    if bad.count() <= BROADCAST_WINDOWS:  # else the events are shuffled by window
+        bad = F.broadcast(bad)
     return (
         df.withColumn("window_no", bucket(df, time, seconds))
         .join(bad, "window_no", "left")

@@ -40,25 +40,19 @@ def _hash(*columns: Column) -> Column:
 def tree_samples(df: DataFrame, features: Sequence[str], key: str, trees: int, sample: int, seed: int) -> DataFrame:
     """(tree, features): `sample` rows without replacement for each tree, the same on every run.
 
-    A large table gives every tree its own rows from one hash-filtered pool, so the shuffle holds
-    about trees * sample rows whatever the size of the table. A small one gives each tree the rows
-    with the lowest hashes of (row, tree).
+    Trees draw independently: each takes the rows with the lowest hashes of (row, tree). A row first drops the trees
+    for which its hash is above one and a half times the share wanted, so the shuffle holds about
+    1.5 * trees * sample rows whatever the size of the table.
     """
-    n = df.count()
-    wanted = trees * sample
+    share = min(1.0, (1.5 * sample + 64) / max(1, df.count()))
     cols = [F.col(c).cast("double").alias(c) for c in features]
-    if n > 2 * wanted:
-        share = min(1.0, 1.5 * wanted / n)
-        pool = df.select(key, *cols, _hash(F.col(key), F.lit(seed)).alias("h")).filter(
-            F.col("h") < int(share * HASH_RANGE)
-        )
-        pool = pool.withColumn("tree", F.pmod(F.xxhash64(F.col(key), F.lit(seed + 1)), F.lit(trees)).cast("int"))
-    else:
-        pool = (
-            df.select(key, *cols)
-            .withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-            .withColumn("h", _hash(F.col(key), F.col("tree"), F.lit(seed)))
-        )
+    drawn = F.filter(
+        F.transform(
+            F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(t.alias("tree"), _hash(F.col(key), t, F.lit(seed)).alias("h"))
+        ),
+        lambda x: x["h"] < int(share * HASH_RANGE),
+    )
+    pool = df.select(key, *cols, F.inline(drawn))
     lowest = F.row_number().over(W.partitionBy("tree").orderBy("h", key))
     return (
         pool.withColumn("r", lowest)

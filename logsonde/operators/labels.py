@@ -43,44 +43,52 @@ def mark_intervals(
 ) -> DataFrame:
     """`df` with the boolean `name`: `position` lies in one of the closed [start, end] intervals.
 
-    Intervals are cut at the borders of blocks of `width` positions, and rows meet the intervals of
-    their block by equality, so a short interval table is broadcast by Spark's own size check and
-    a long one is shuffled by block. Overlaps are merged in each block, so no row is doubled.
+    Positions fall into blocks of `width`. In its block, a row is covered if the furthest end of the intervals that start
+    at or before it reaches it; intervals from earlier blocks are carried in as one number. So an interval is one row
+    whatever its length, and no row meets the intervals one by one.
     """
-    pieces = intervals.filter("start <= end").select(
-        "start",
-        "end",
-        F.explode(F.sequence(F.floor(F.col("start") / width), F.floor(F.col("end") / width))).alias("block"),
+    starts = intervals.filter("start <= end").select(
+        F.col("start").cast("double").alias("_at"), F.col("end").cast("double").alias("_end")
     )
-    pieces = pieces.select(
-        "block",
-        F.greatest("start", F.col("block") * width).alias("start"),
-        F.least("end", (F.col("block") + 1) * width - 1).alias("end"),
+    block = F.floor(F.col("_at") / width).alias("_block")
+    starts = starts.select("*", block)
+    rows = df.select("*", F.col(position).cast("double").alias("_at")).select("*", block)
+    every = rows.withColumn("_end", F.lit(None).cast("double")).unionByName(
+        starts.withColumn("_start", F.lit(True)), allowMissingColumns=True
     )
-    p = F.col(f"l.{position}")
+    order = W.partitionBy("_block").orderBy("_at", F.desc_nulls_last("_start"))
+    own = F.max("_end").over(order.rowsBetween(W.unboundedPreceding, 0))
+    carried = _carried(starts, rows)
     return (
-        df.withColumn("block", F.floor(F.col(position) / width))
-        .alias("l")
-        .join(
-            _merged(pieces).alias("r"),
-            (F.col("l.block") == F.col("r.block")) & p.between(F.col("r.start"), F.col("r.end")),
-            "left",
-        )
-        .select(*[F.col(f"l.{c}") for c in df.columns], F.col("r.block").isNotNull().alias(name))
+        every.withColumn("_own", own)
+        .filter("_start IS NULL")
+        .join(carried, "_block", "left")
+        .withColumn(name, F.coalesce(F.greatest("_own", "_reach") >= F.col("_at"), F.lit(False)))
+        .select(*df.columns, name)
     )
 
 
-def _merged(pieces: DataFrame) -> DataFrame:
-    """Disjoint intervals of each block that cover the same positions."""
-    order = W.partitionBy("block").orderBy("start", "end")
-    reached = F.max("end").over(order.rowsBetween(W.unboundedPreceding, -1))
-    opens = F.coalesce(F.col("start") > reached, F.lit(True)).cast("int")
-    return (
-        pieces.withColumn("opens", opens)
-        .withColumn("island", F.sum("opens").over(order.rowsBetween(W.unboundedPreceding, 0)))
-        .groupBy("block", "island")
-        .agg(F.min("start").alias("start"), F.max("end").alias("end"))
-        .drop("island")
+def _carried(starts: DataFrame, rows: DataFrame, wide: int = 1024) -> DataFrame:
+    """(_block, _reach): the furthest end of intervals that start in earlier blocks, for each block of `rows`.
+
+    Running maxima in two steps, over the blocks of a group of `wide` and over the groups, so that no task orders all blocks.
+    """
+    group = F.floor(F.col("_block") / wide).alias("_group")
+    blocks = (
+        starts.select("_block", "_end")
+        .unionByName(rows.select("_block", F.lit(None).cast("double").alias("_end")))
+        .filter("_block IS NOT NULL")
+        .groupBy("_block")
+        .agg(F.max("_end").alias("_end"))
+        .select("*", group)
+    )
+    before = W.orderBy("_group").rowsBetween(W.unboundedPreceding, -1)
+    groups = blocks.groupBy("_group").agg(F.max("_end").alias("_end")).select(
+        "_group", F.max("_end").over(before).alias("_far")
+    )
+    near = F.max("_end").over(W.partitionBy("_group").orderBy("_block").rowsBetween(W.unboundedPreceding, -1))
+    return blocks.withColumn("_near", near).join(groups, "_group").select(
+        "_block", F.greatest("_near", "_far").alias("_reach")
     )
 
 

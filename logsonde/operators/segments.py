@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
-from pyspark.storagelevel import StorageLevel
 
+from logsonde.functions.storage import materialize
 from logsonde.functions.typing import flag, to_number
 from logsonde.operators.anomalies import standardize
 from logsonde.schema import ANOMALY_CODES, FAILURE_CODES, MODEL_FEATURES
@@ -18,7 +19,11 @@ from logsonde.schema import ANOMALY_CODES, FAILURE_CODES, MODEL_FEATURES
 K_VALUES = (3, 5, 8)
 STARTS = 10
 SEED = 42
-PARALLEL_FITS = 8
+PARALLEL_FITS = 4
+MAX_ITERATIONS = 300
+# A fit stops when the squared shifts of all k centres sum to at most this share of the features' mean variance,
+# which is 1 after standardisation.
+SHIFT_SHARE = 1e-4
 SHARES = {
     "pct_IsAnomaly": lambda df: F.col("IsAnomaly").cast("double"),
     "pct_EventCode_500_501": lambda df: F.coalesce(F.col("EventCode").isin(FAILURE_CODES), F.lit(False)).cast("int"),
@@ -52,21 +57,29 @@ def fit_kmeans(
     seed: int = SEED,
     parallelism: int = PARALLEL_FITS,
 ) -> dict[int, KMeansModel]:
-    """For each k the cheapest of `starts` fits. Fits are independent jobs, run a few at a time."""
-    data = vectors.select("features").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        jobs = [(k, s) for k in sorted(k_values, reverse=True) for s in range(starts)]
-
-        def fit(job: tuple[int, int]) -> tuple[int, float, int, KMeansModel]:
-            k, s = job
-            model = KMeans(k=k, seed=seed + s, maxIter=100, featuresCol="features", predictionCol="cluster").fit(data)
-            return k, model.summary.trainingCost, s, model
-
-        data.count()
-        with ThreadPoolExecutor(parallelism) as pool:
-            fits = list(pool.map(fit, jobs))
-    finally:
-        data.unpersist()
+    """For each k the cheapest of `starts` fits. Fits are independent jobs, run a few at a time.
+
+    The vectors are written once; each fit reads them and keeps them in blocks of its own while it runs. Spark stops when no centre
+    moves by more than the tolerance; with sqrt(SHIFT_SHARE / k) the sum of the squared shifts is then at most SHIFT_SHARE.
+    """
+    data = materialize(vectors.select("features"), "segment-vectors")
+    jobs = [(k, s) for k in sorted(k_values, reverse=True) for s in range(starts)]
+
+    def fit(job: tuple[int, int]) -> tuple[int, float, int, KMeansModel]:
+        k, s = job
+        model = KMeans(
+            k=k,
+            seed=seed + s,
+            maxIter=MAX_ITERATIONS,
+            tol=math.sqrt(SHIFT_SHARE / k),
+            solver="block",
+            featuresCol="features",
+            predictionCol="cluster",
+        ).fit(data)
+        return k, model.summary.trainingCost, s, model
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        fits = list(pool.map(fit, jobs))
     return {k: min((f for f in fits if f[0] == k), key=lambda f: f[1:3])[3] for k in k_values}
 
 
@@ -100,7 +113,8 @@ def means(df: DataFrame, keys: Sequence[str], features: Sequence[str] = MODEL_FE
 
 def shares(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows and share of anomalies, failure and anomaly codes and spike labels per segment, 4 decimals."""
-    present = [n for n in SHARES if n != "pct_IsAnomaly" or "IsAnomaly" in df.columns]
+    needs = {"pct_IsAnomaly": "IsAnomaly", **{f"pct_{c}": c for c in ("IsSpikeByLatency", "IsSpikeByCpu", "IsSpikeByQps")}}
+    present = [n for n in SHARES if n not in needs or needs[n] in df.columns]
     return (
         df.groupBy(*keys)
         .agg(

@@ -35,14 +35,14 @@ def with_valid_time(df: DataFrame) -> DataFrame:
     return as_timestamp(df, "Timestamp").filter("Timestamp IS NOT NULL")
 
 
-def thresholds(df: DataFrame, method: str = "auto", medians: DataFrame | None = None) -> DataFrame:
+def thresholds(df: DataFrame, medians: DataFrame | None = None) -> DataFrame:
     """One row: median, mean and sample standard deviation of each metric of the rules.
 
     `medians` is a known row of `<metric>__median`, as of the root-cause statistics.
     """
     df = with_valid_time(df)
     if medians is None:
-        medians = quantiles(df, [r.metric for r in RULES], [0.5], method).select(
+        medians = quantiles(df, [r.metric for r in RULES], [0.5]).select(
             *[F.col(r.metric)[0].alias(f"{r.metric}__median") for r in RULES]
         )
     medians = medians.select(*[F.col(f"{r.metric}__median").alias(f"{r.name}_median") for r in RULES])
@@ -56,10 +56,10 @@ def thresholds(df: DataFrame, method: str = "auto", medians: DataFrame | None =
     return medians.crossJoin(F.broadcast(moments))
 
 
-def detect(df: DataFrame, stats: DataFrame | None = None, method: str = "auto") -> DataFrame:
+def detect(df: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """`df` with a boolean `spike_<rule>` per rule. `stats` is one row made by `thresholds`."""
     df = with_valid_time(df)
-    stats = thresholds(df, method) if stats is None else stats
+    stats = thresholds(df) if stats is None else stats
     flags = {}
     for r in RULES:
         x = to_number(r.metric)

@@ -453,15 +453,26 @@ _add(
 )
 
 
-def _clusters(t: DataFrame) -> DataFrame:
-    vectors = segments.feature_vectors(t)
-    return segments.by_k(segments.assign(vectors, segments.fit_kmeans(vectors)))
+_FITTED: dict[tuple[str, str], dict] = {}
 
 
-_add("clu_kmeans", lambda t: _clusters(t).select("EventSeq", "k", "cluster"))
-_add("clu_sizes", lambda t: segments.sizes(_clusters(t), ["k", "cluster"]))
-_add("clu_means", lambda t: segments.means(_clusters(t), ["k", "cluster"]))
-_add("clu_shares", lambda t: segments.shares(_clusters(t), ["k", "cluster"]))
+def _clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events with their cluster for each k. The models of an input are fitted once in a session."""
+    vectors = segments.feature_vectors(read_telemetry(spark, sf_dir))
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _FITTED:
+        _FITTED[at] = segments.fit_kmeans(vectors)
+    return segments.by_k(segments.assign(vectors, _FITTED[at]))
+
+
+def _on_clusters(name: str, fn: Callable[[DataFrame], DataFrame]) -> None:
+    QUERIES[name] = lambda spark, sf_dir: plain(fn(_clusters(spark, sf_dir)))
+
+
+_on_clusters("clu_kmeans", lambda c: c.select("EventSeq", "k", "cluster"))
+_on_clusters("clu_sizes", lambda c: segments.sizes(c, ["k", "cluster"]))
+_on_clusters("clu_means", lambda c: segments.means(c, ["k", "cluster"]))
+_on_clusters("clu_shares", lambda c: segments.shares(c, ["k", "cluster"]))
 _add("seg_means", lambda t: segments.means(t, ["SourceSystem"]))
 _add("seg_shares", lambda t: segments.shares(t, ["SourceSystem"]))
 

@@ -41,7 +41,6 @@ class Pipeline:
         correlation: str | None = None,
         trend_system: str | None = trends.PIPELINE_SYSTEM,
         trend_settings: trends.TrendSettings = trends.PIPELINE_SETTINGS,
-        quantile_method: str = "auto",
         all_correlations: bool = False,
     ) -> None:
         self.events = events
@@ -49,7 +48,7 @@ class Pipeline:
         self.trend_system = trend_system
         self.trend_settings = trend_settings
         self.all_correlations = all_correlations
-        self.stats = fix_row(rca.global_stats(events, quantile_method))
+        self.stats = fix_row(rca.global_stats(events))
         self._scored: DataFrame | None = None
 
     @property
@@ -67,7 +66,7 @@ class Pipeline:
         }
 
     def binning(self) -> dict[str, DataFrame]:
-        histogram = binning.period_histogram(self.events)
+        histogram = materialize(binning.period_histogram(self.events), "period-histogram")
         stats = binning.stats_of_histogram(histogram)
         return {"period_histogram": histogram, "period_stats": stats, "comparison": binning.compare_stats(stats)}
 
@@ -82,7 +81,8 @@ class Pipeline:
 
     def trends(self) -> dict[str, DataFrame]:
         prepared = trends.prepare(self.events, self.trend_settings, self.trend_system)
-        found = trends.detect(trends.bucketize(prepared, self.trend_settings), self.trend_settings)
+        buckets = materialize(trends.bucketize(prepared, self.trend_settings), "trend-buckets")
+        found = trends.detect(buckets, self.trend_settings)
         return {
             "buckets": found,
             "summary": trends.summary(prepared, found),

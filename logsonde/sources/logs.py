@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from logsonde.functions.time import epoch_seconds
 from logsonde.functions.typing import parse_timestamp, to_number
 from logsonde.schema import ATTRIBUTE_SCHEMA, CSV_FIELDS, CSV_SCHEMA, JSON_COLUMN
 
@@ -58,24 +58,26 @@ def parse_json(column: str | Column, schema: T.StructType = ATTRIBUTE_SCHEMA) ->
     return F.when(text.isNotNull() & parsed["_bad"].isNull(), fields)
 
 
-def infer_attributes(df: DataFrame, column: str = JSON_COLUMN) -> T.StructType:
-    """The attribute schema seen in the rows: the union of all keys, each with the narrowest type
-    that holds all its values. Rows are reduced to one row per key before they reach the driver.
+def infer_attributes(df: DataFrame, column: str = JSON_COLUMN, max_keys: int = 1000) -> T.StructType:
+    """The attribute schema seen in the rows: the union of all keys, each with the type that holds all its values.
+
+    Types are those of the JSON tokens, so quoted numbers stay text. The rows are aggregated to one schema before
+    anything reaches the driver. More than `max_keys` keys are refused: dynamic keys are data, not columns.
     """
-    entries = df.select(
-        F.explode(F.from_json(F.col(column), T.MapType(T.StringType(), T.StringType()))).alias("key", "value")
-    ).filter("value IS NOT NULL")
-    fits = entries.groupBy("key").agg(
-        F.bool_and(F.col("value").isin("true", "false")).alias("boolean"),
-        F.bool_and(F.col("value").try_cast("bigint").isNotNull() & ~F.col("value").contains(".")).alias("bigint"),
-        F.bool_and(F.col("value").try_cast("double").isNotNull()).alias("double"),
+    text = F.nullif(F.trim(F.col(column)), F.lit(""))
+    seen = df.select(F.schema_of_variant_agg(F.try_parse_json(text)).alias("s")).first()["s"]
+    if not seen or not seen.startswith("OBJECT<"):
+        return T.StructType([])
+    found = T._parse_datatype_string("struct<" + seen[len("OBJECT<") : -1].replace("OBJECT<", "STRUCT<").replace("VARIANT", "STRING").replace("VOID", "STRING") + ">")
+    if len(found) > max_keys:
+        raise ValueError(f"{len(found)} attribute keys are more than {max_keys}")
+    number = (T.DecimalType, T.FloatType)
+    return T.StructType(
+        [
+            T.StructField(f.name, T.DoubleType() if isinstance(f.dataType, number) else f.dataType)
+            for f in sorted(found.fields, key=lambda f: f.name)
+        ]
     )
-    types = {"boolean": T.BooleanType(), "bigint": T.LongType(), "double": T.DoubleType()}
-    fields = []
-    for row in fits.orderBy("key").collect():
-        kind = next((t for n, t in types.items() if row[n]), T.StringType())
-        fields.append(T.StructField(row["key"], kind))
-    return T.StructType(fields)
 
 
 def flatten_attributes(
@@ -158,13 +160,25 @@ def attributes_json(df: DataFrame) -> Column:
     return F.to_json(F.struct(*[F.col(f.name) for f in ATTRIBUTE_SCHEMA.fields if f.name in df.columns]))
 
 
+def _utc_text(df: DataFrame, name: str) -> Column:
+    """A time as ISO-8601 text in UTC with seven digits, whatever the session's zone."""
+    seconds = epoch_seconds(df, name)
+    micros = F.pmod(F.floor(F.extract(F.lit("SECOND"), F.col(name)) * 1_000_000), F.lit(1_000_000)).cast("int")
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(seconds / 86_400).cast("int"))
+    of_day = F.pmod(seconds, F.lit(86_400))
+    text = F.format_string(
+        "%sT%02d:%02d:%02d.%06d0Z", day.cast("string"), F.floor(of_day / 3600), F.floor(of_day / 60) % 60, of_day % 60, micros
+    )
+    return F.when(F.col(name).isNotNull(), text)
+
+
 def csv_columns(df: DataFrame) -> list[Column]:
     """The text of each CSV column of the log format."""
     out = []
     for name, _ in CSV_FIELDS:
         c = F.col(name)
         if name == "Timestamp":
-            c = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'0Z'")
+            c = _utc_text(df, name)
         elif name == "Priority":
             c = F.lower(c)
         elif name == "Description":
@@ -187,8 +201,3 @@ def write_logs(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 def write_stats(stats: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """The one-row counters as JSON."""
     stats.coalesce(1).write.mode(mode).json(path)
-
-
-def default_log_paths(base: str) -> list[str]:
-    """Where the pipeline looks for its input, first match wins."""
-    return [os.path.join(base, "logs.csv"), os.path.join(base, "data", "logs.csv")]
