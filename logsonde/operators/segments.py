@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from logsonde.functions.storage import materialize
@@ -83,6 +84,32 @@ def fit_kmeans(
     return {k: min((f for f in fits if f[0] == k), key=lambda f: f[1:3])[3] for k in k_values}
 
 
+def checks(vectors: DataFrame, models: dict[int, KMeansModel], tolerance: float = 0.05) -> DataFrame:
+    """One row per k: events, clusters, events nearer to another centre, whether centres are the means of their
+    events to within `tolerance`, and whether the fit is cheaper than that of the next smaller k."""
+    rows, last = [], math.inf
+    for k, model in sorted(models.items()):
+        centres = [c.tolist() for c in model.clusterCenters()]
+        at = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in centres])
+        squares = lambda c: F.zip_with(c, F.col("x"), lambda a, b: (a - b) * (a - b))
+        far = F.transform(at, lambda c: F.aggregate(squares(c), F.lit(0.0), lambda s, d: s + d))
+        seen = model.transform(vectors.select("features")).select("cluster", vector_to_array("features").alias("x"))
+        seen = seen.withColumn("far", far)
+        own = F.get("far", F.col("cluster"))
+        per = seen.groupBy("cluster").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(own > F.array_min("far") + 1e-9).alias("nearer"),
+            F.sum(own).alias("cost"),
+            F.array(*[F.avg(F.get("x", F.lit(i))) for i in range(len(centres[0]))]).alias("mean"),
+        ).collect()  # k rows
+        shift = max(abs(a - b) for r in per for a, b in zip(r["mean"], centres[r["cluster"]]))
+        cost = sum(r["cost"] for r in per)
+        rows.append((k, sum(r["n"] for r in per), len(per), sum(r["nearer"] for r in per), shift <= tolerance, cost < last))
+        last = cost
+    names = "k long, events long, clusters long, nearer_to_another long, centres_are_means boolean, cheaper_than_fewer boolean"
+    return vectors.sparkSession.createDataFrame(rows, names)
+
+
 def assign(vectors: DataFrame, models: dict[int, KMeansModel]) -> DataFrame:
     """Every row with the array column `clusters` of (k, cluster), one per model, in one pass."""
     df = vectors

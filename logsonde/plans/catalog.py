@@ -6,7 +6,9 @@ places, counts as BIGINT, times as text, lists as joined text.
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -23,6 +25,8 @@ from logsonde.operators import (
     spikes,
     trends,
 )
+from logsonde.plans.oracles import PIPELINE_TABLES
+from logsonde.plans.pipeline import Pipeline
 from logsonde.schema import MODEL_FEATURES
 from logsonde.sources import logs
 from logsonde.sources.telemetry import read_telemetry
@@ -473,6 +477,50 @@ _on_clusters("clu_kmeans", lambda c: c.select("EventSeq", "k", "cluster"))
 _on_clusters("clu_sizes", lambda c: segments.sizes(c, ["k", "cluster"]))
 _on_clusters("clu_means", lambda c: segments.means(c, ["k", "cluster"]))
 _on_clusters("clu_shares", lambda c: segments.shares(c, ["k", "cluster"]))
+
+
+@_on_telemetry("clu_checks")
+def _cluster_checks(t: DataFrame) -> DataFrame:
+    """Properties of the fits: every event in its nearest cluster, centres at the means, more clusters cheaper."""
+    vectors = segments.feature_vectors(t)
+    return segments.checks(vectors, segments.fit_kmeans(vectors, starts=2))
+
+
+@_on_telemetry("ano_checks")
+def _forest_checks(t: DataFrame) -> DataFrame:
+    """Properties of the forest: scores in range, the same in a second fit, and the wanted share flagged."""
+    first, again = (anomalies.isolation_forest(t, columns=["EventCode"]) for _ in range(2))
+    both = first.join(again.select("EventSeq", F.col("IF_AnomalyScore").alias("second")), "EventSeq")
+    score = F.col("IF_AnomalyScore")
+    counted = both.agg(
+        F.count(F.lit(1)).alias("events"),
+        F.count_if((score > -1) & (score < 0)).alias("in_range"),
+        F.bool_and(score == F.col("second")).alias("same_again"),
+        F.sum("IF_Anomaly").alias("flagged"),
+    )
+    wanted = F.col("contamination") * F.col("events")
+    met = F.abs(F.col("flagged") - wanted) <= F.greatest(F.lit(2.0), wanted * 0.1)
+    return counted.crossJoin(anomalies.contamination(t)).select(
+        "events", "in_range", "same_again", met.alias("share_is_met")
+    )
+
+
+def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and totals of every result of the deterministic analyses, from one pipeline run."""
+    run = Pipeline(read_telemetry(spark, sf_dir), trend_system=None, trend_settings=TREND_MEDIAN)
+    results = run.run(["profile", "binning", "spikes", "trends", "failures"])
+    out = []
+    for (analysis, name), (_, columns) in PIPELINE_TABLES.items():
+        total = reduce(operator.add, [F.coalesce(F.col(c), F.lit(0)) for c in columns])
+        out.append(
+            plain(results[analysis][name])
+            .agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum(total).cast("double"), 2).alias("total"))
+            .select(F.lit(analysis).alias("analysis"), F.lit(name).alias("result"), "rows", "total")
+        )
+    return reduce(DataFrame.unionByName, out)
+
+
+QUERIES["pip_deterministic"] = _pipeline
 _add("seg_means", lambda t: segments.means(t, ["SourceSystem"]))
 _add("seg_shares", lambda t: segments.shares(t, ["SourceSystem"]))
 

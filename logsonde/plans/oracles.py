@@ -1,7 +1,7 @@
 """The registered queries as SQL for DuckDB, written independently of the Spark code.
 
-Only the telemetry view is shared. Queries of models (forest, k-means, regressions, samples by hash)
-have no SQL and are tested by their properties instead.
+Only the telemetry view is shared. Models (forest, k-means, regressions) have no SQL themselves; the `_checks`
+queries compare their properties, and tests check the rest.
 """
 
 from __future__ import annotations
@@ -282,10 +282,10 @@ SELECT first AS "FirstFailSystem", SourceSystem, count(*) AS "Events", {b("sum(c
 FROM fc JOIN ff ON fc.CorrelationId = ff.CorrelationId GROUP BY 1, 2"""
 ORACLES["flr_reconcile"] = f"""{cte(_THR, _SCORE)},
 a AS (SELECT sum(cand::INT) AS k, count(*) AS n, sum((EventCode IN (500, 501))::INT) AS f FROM fc)
-SELECT {b("k", "candidates")}, n AS events, {r6("k / n", "candidate_rate")},
+SELECT {b("k", "candidates")}, a.n AS events, {r6("k / a.n", "candidate_rate")},
   {r6("l", '"thr_LatencyMs"')}, {r6("d", '"thr_DiskQueueLength"')}, {r6("th.n", '"thr_NetworkErrors"')},
   {r6("c", '"thr_CpuUsage"')}, a.n AS truth_events, {b("f", "truth_failures")},
-  {r6("k / a.n - f / a.n", "rate_difference")} FROM a, th""".replace("n AS events, round(cast(k / n", "a.n AS events, round(cast(k / a.n")
+  {r6("k / a.n - f / a.n", "rate_difference")} FROM a, th"""
 
 # -- anomalies ------------------------------------------------------------------------------
 
@@ -560,3 +560,56 @@ SELECT count(*) AS "TotalEvents", count(*) FILTER (EventCode IN (429, 430)) AS "
   count(*) FILTER (EventCode IN (500, 501)) AS "FailureEvents", count(*) FILTER (TrendWindow) AS "TrendEvents",
   count(*) FILTER (IsAnomaly = 1) AS "AnomalyEvents", count(*) FILTER (IsSpikeByLatency) AS "SpikeByLatencyEvents",
   count(*) FILTER (IsSpikeByCpu) AS "SpikeByCpuEvents", count(*) FILTER (IsSpikeByQps) AS "SpikeByQpsEvents" FROM t"""
+
+# -- samples and splits by hash -----------------------------------------------------------
+
+
+def _hash(text: str) -> str:
+    """The first 13 hex digits of md5 of the text and the seed, as a number."""
+    return f"cast(cast('0x' || substr(md5({text} || '/42'), 1, 13) AS BIGINT) AS DOUBLE)"
+
+
+_FAILED, _ODD = "EventCode IN (500, 501)", "(IsAnomaly = 1 OR EventCode IN (998, 999))"
+ORACLES["prd_split"] = f"""{cte()}
+SELECT EventSeq, CorrelationId, {b(_FAILED, "is_failure")},
+  {_hash("coalesce(CorrelationId, '__na__')")} < 0.2e0 * 4503599627370496 AS is_test FROM t"""
+ORACLES["prd_sample"] = f"""{cte()}
+SELECT EventSeq, {b(_FAILED, "is_failure")}, {b(_ODD, "is_anomaly_target")} FROM t
+QUALIFY row_number() OVER (ORDER BY ({_FAILED} OR {_ODD}) DESC, {_hash("EventSeq::VARCHAR")}) <= 5000"""
+ORACLES["prd_seq_cap"] = f"""{cte()},
+ids AS (SELECT DISTINCT CorrelationId FROM t WHERE CorrelationId IS NOT NULL),
+chosen AS (SELECT CorrelationId FROM ids ORDER BY {_hash("CorrelationId")} LIMIT 500)
+SELECT CorrelationId, EventSeq FROM t WHERE CorrelationId IN (SELECT CorrelationId FROM chosen)"""
+
+# -- properties of models -------------------------------------------------------------------
+
+ORACLES["clu_checks"] = f"""{cte()},
+n AS (SELECT count(*) AS n FROM t WHERE {" AND ".join(f"{c} IS NOT NULL" for c in MODEL_FEATURES)})
+SELECT k::BIGINT AS k, n AS events, k::BIGINT AS clusters, 0::BIGINT AS nearer_to_another, true AS centres_are_means,
+  true AS cheaper_than_fewer FROM n, (VALUES (3), (5), (8)) x(k)"""
+ORACLES["ano_checks"] = f"""{cte()}
+SELECT count(*) AS events, count(*) AS in_range, true AS same_again, true AS share_is_met FROM t"""
+
+# -- the pipeline ---------------------------------------------------------------------------
+
+#: Result of the pipeline: the query of the same rows, and the columns that are summed.
+PIPELINE_TABLES = {
+    ("profile", "counts"): ("pro_counts", ["events_count", "transactions_count", "correlations_count"]),
+    ("profile", "distributions"): ("pro_all_distributions", ["events"]),
+    ("binning", "period_histogram"): ("bin_period_histogram", ["bin", "events", "bin_lo", "bin_hi"]),
+    ("binning", "period_stats"): ("bin_period_stats", ["events", "entropy", "balance_max_median"]),
+    ("binning", "comparison"): ("bin_compare", ["variance_ratio", "entropy_delta"]),
+    ("spikes", "by_service"): ("spk_by_service", ["latency_spikes", "cpu_spikes", "qps_spikes"]),
+    ("spikes", "overall"): ("spk_overall", ["total"]),
+    ("spikes", "scores"): ("spk_scores", ["tp", "fp", "tn", "fn", "f1"]),
+    ("trends", "summary"): ("trd_summary", ["events", "segments", "detected_buckets", "trend_buckets"]),
+    ("trends", "scores"): ("trd_scores", ["tp", "fp", "tn", "fn", "f1"]),
+    ("trends", "recent"): ("trd_recent_12h", ["metric_agg", "metric_smooth"]),
+    ("failures", "candidates"): ("flr_candidates", ["candidates", "events"]),
+    ("failures", "propagation"): ("flr_propagation", ["Events", "Candidates", "CandidateRate"]),
+}
+ORACLES["pip_deterministic"] = " UNION ALL ".join(
+    f"""SELECT '{a}' AS analysis, '{t}' AS result, count(*) AS rows,
+  round(cast(sum({" + ".join(f'coalesce("{c}", 0)' for c in columns)}) AS DOUBLE), 2) AS total FROM ({ORACLES[q]})"""
+    for (a, t), (q, columns) in PIPELINE_TABLES.items()
+)
