@@ -19,7 +19,7 @@ from logsonde.functions.storage import materialize  # noqa: E402
 from logsonde.operators import trends  # noqa: E402
 from logsonde.plans.catalog import QUERIES  # noqa: E402
 from logsonde.plans.pipeline import ANALYSES, Pipeline  # noqa: E402
-from logsonde.sources.telemetry import telemetry  # noqa: E402
+from logsonde.plans.telemetry import telemetry  # noqa: E402
 
 HEADLINE = [
     "snk_csv_line",

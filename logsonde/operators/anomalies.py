@@ -27,28 +27,14 @@ REASON_METRICS = {
 OTHER_REASON = "other"
 TOP_SCENARIOS = 3
 TOP_REASONS = 5
+# What to look at for each reason: own wording.
 ADVICE = {
-    "latency": [
-        "check p95/p99 latency per endpoint and dependency",
-        "verify timeouts and request queues",
-    ],
-    "network": [
-        "check timeouts, retry storms and connection errors",
-        "verify downstream load and connection limits",
-    ],
-    "disk": [
-        "check IO wait, storage and database latency and queues",
-        "reduce synchronous writes and logging",
-    ],
-    "cpu": [
-        "check hot paths, garbage collection and CPU use per endpoint",
-        "consider scaling out or optimising CPU use",
-    ],
-    "memory": [
-        "check memory leaks and garbage collection pressure",
-        "verify limits and object allocations",
-    ],
-    "other": ["analyse combinations of features and correlation with traffic"],
+    "latency": ["see which calls of the flagged events were slow and what they waited for"],
+    "network": ["see whether the broken connections share a peer or a host"],
+    "disk": ["see what was written while requests queued before storage"],
+    "cpu": ["see which operation ran while the processor was busy"],
+    "memory": ["see whether memory was given back after the flagged events"],
+    "other": ["no metric explains these events alone: look at several together, by hour and by scenario"],
 }
 
 

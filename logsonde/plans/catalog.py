@@ -29,7 +29,7 @@ from logsonde.plans.oracles import PIPELINE_TABLES
 from logsonde.plans.pipeline import Pipeline
 from logsonde.schema import MODEL_FEATURES
 from logsonde.sources import logs
-from logsonde.sources.telemetry import read_telemetry
+from logsonde.plans.telemetry import read_telemetry
 
 Query = Callable[[SparkSession, str], DataFrame]
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from logsonde.operators import anomalies, rca
 from logsonde.schema import DIAGNOSIS_FLAGS, DIAGNOSIS_METRICS, MODEL_FEATURES, REASON_CODES
-from logsonde.sources.telemetry import telemetry_cte
+from logsonde.plans.telemetry import telemetry_cte
 
 TS = "strftime({}, '%Y-%m-%d %H:%M:%S.%f')"
 

@@ -16,7 +16,7 @@ from logsonde.operators import anomalies, binning, failures, forest, labels, rca
 from logsonde.plans.pipeline import Pipeline
 from logsonde.schema import MODEL_FEATURES
 from logsonde.sources import logs
-from logsonde.sources.telemetry import read_telemetry
+from logsonde.plans.telemetry import read_telemetry
 
 
 @pytest.fixture(scope="module")
