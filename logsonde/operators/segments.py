@@ -20,7 +20,7 @@ from logsonde.schema import ANOMALY_CODES, FAILURE_CODES, MODEL_FEATURES
 K_VALUES = (3, 5, 8)
 STARTS = 10
 SEED = 42
-PARALLEL_FITS = 4
+PARALLEL_FITS = 8
 MAX_ITERATIONS = 300
 # A fit stops when the squared shifts of all k centres sum to at most this share of the features' mean variance,
 # which is 1 after standardisation.
