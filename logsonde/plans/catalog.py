@@ -364,6 +364,11 @@ def _report(t: DataFrame) -> DataFrame:
     return rca.report(rca.mark(rca.for_correlation(t, rca.pick(t)), rca.global_stats(t)))
 
 
+_add(
+    "rca_records",
+    lambda t: rca.report(rca.mark(t)).filter("section <> 'assessment' OR NOT item RLIKE '^(level|rise)'"),
+)
+
 # -- prediction -----------------------------------------------------------------------------
 
 _add(

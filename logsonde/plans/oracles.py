@@ -561,6 +561,46 @@ SELECT count(*) AS "TotalEvents", count(*) FILTER (EventCode IN (429, 430)) AS "
   count(*) FILTER (IsAnomaly = 1) AS "AnomalyEvents", count(*) FILTER (IsSpikeByLatency) AS "SpikeByLatencyEvents",
   count(*) FILTER (IsSpikeByCpu) AS "SpikeByCpuEvents", count(*) FILTER (IsSpikeByQps) AS "SpikeByQpsEvents" FROM t"""
 
+# -- the whole record of every correlation ---------------------------------------------------
+
+
+def _lines(query: str, section: str, position: str, item: str, value: str, where: str = "true") -> str:
+    return (
+        f"SELECT CorrelationId, '{section}' AS section, cast({position} AS BIGINT) AS position, "
+        f"cast({item} AS VARCHAR) AS item, cast({value} AS VARCHAR) AS value FROM ({ORACLES[query]}) WHERE {where}"
+    )
+
+
+def _listed(column: str) -> str:
+    return (
+        f"SELECT CorrelationId, '{column}' AS section, unnest(generate_series(1, len(x))) AS position, unnest(x) AS item, '' AS value "
+        f"FROM (SELECT CorrelationId, string_split({column}, ',') AS x FROM ({ORACLES['rca_context']}) WHERE {column} <> '')"
+    )
+
+
+ORACLES["rca_records"] = " UNION ALL ".join(
+    [
+        _lines("rca_context", "events", "1", "''", "events"),
+        _lines("rca_context", "scenario", "1", "''", "scenario"),
+        _listed("regions"),
+        _listed("nodes"),
+        _lines("rca_path", "path", "position", "SourceSystem", "''"),
+        _lines("rca_first_problem", "first_problem", "1", "first_problem_system", "nullif(first_problem_step, -1)"),
+        _lines("rca_victims", "victims", "position", "SourceSystem", "''"),
+        _lines("rca_evidence", "evidence", "1", "''", "propagation_evidence"),
+        _lines("rca_roles", "roles", "1", "SourceSystem", "concat_ws(':', role, symptom)"),
+        _lines(
+            "rca_diagnosis", "diagnosis", "CASE WHEN reason = 'none' THEN 0 ELSE rank END", "SourceSystem",
+            "CASE WHEN reason = 'none' THEN reason ELSE concat_ws(':', reason, z, n) END",
+        ),
+        _lines("rca_flags", "flags", "1", "concat_ws(':', SourceSystem, flag)", "n"),
+        _lines("rca_pre_events", "pre_events", "-back", "SourceSystem", "EventSeq"),
+        _lines("rca_pre_flags", "assessment", "1", "concat_ws(':', kind, item)", "message"),
+        _lines("rca_recommend", "recommendations", "position", "''", "line"),
+        _lines("rca_watch", "watch_list", "1", '"column"', "''"),
+    ]
+)
+
 # -- samples and splits by hash -----------------------------------------------------------
 
 
