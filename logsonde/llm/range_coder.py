@@ -24,11 +24,14 @@ HEADER = struct.Struct("<4sIIII")  # magic, ids, lanes, size of the vocabulary,
 MAX_LANES = 4096
 LANE_IDS = 256  # ids a lane holds before another lane is opened
 MIX_BITS = 12
-HASH_BITS = 18
-STEP_REFRESH = 4  # steps between two rebuilds of the cumulative counts
+HASH_BITS = 16
+STEP_REFRESH = 8  # steps between two rebuilds of the cumulative counts
 GAIN = 24  # what one occurrence adds to an id's count, all of which start at 1
 TOTAL_BOUND = 1 << 24
 
+#: The confidence after a miss (first 8) and a hit (last 8); at 0 the id that came is kept instead.
+CONFIDENCE = np.array([*[c >> 1 for c in range(8)], *[min(c + 1, 7) for c in range(8)]], np.int8)
+
 U = np.uint64
 TOP, BOTTOM = U(1 << 48), U(1 << 40)
 LOW_MASK = U((1 << 40) - 1)
@@ -44,7 +47,7 @@ class Model:
         self.id2 = np.zeros(1 << HASH_BITS, np.int32)
         self.sure2 = np.zeros(1 << HASH_BITS, np.int8)
         self.right = np.tile(np.array([1, 1, 2], np.int64), (128, 1))
-        self.counts = np.ones(vocabulary, np.int64)
+        self.counts = np.ones(vocabulary, np.int32)
         self.seen: list[np.ndarray] = []
         self.step = 0
         self.before1 = np.zeros(lanes, np.int64)
@@ -59,7 +62,7 @@ class Model:
         self.one = share.sum(1).astype(np.uint64)
 
     def _cumulate(self) -> None:
-        self.upto = np.zeros(self.vocabulary + 1, np.int64)
+        self.upto = np.zeros(self.vocabulary + 1, np.int32)  # below 2 * TOTAL_BOUND
         np.cumsum(self.counts, out=self.upto[1:])
         self.total = int(self.upto[-1])
 
@@ -69,28 +72,26 @@ class Model:
 
     def predict(self) -> None:
         self.slot = ((self.before2 * 40503) ^ (self.before1 * 2654435)) & ((1 << HASH_BITS) - 1)
-        self.guess2, self.conf2 = self.id2[self.slot], self.sure2[self.slot]
-        self.guess1, self.conf1 = self.id1[self.before1], self.sure1[self.before1]
-        self.state = (self.conf2.astype(np.int64) << 4) | (self.conf1 << 1) | (self.guess1 == self.guess2)
-        self.to2, self.to1 = self.two[self.state], self.one[self.state]
+        self.guess2, self.conf2 = self.id2.take(self.slot), self.sure2.take(self.slot)
+        self.guess1, self.conf1 = self.id1.take(self.before1), self.sure1.take(self.before1)
+        self.state = ((self.conf2 << 4) | (self.conf1 << 1) | (self.guess1 == self.guess2)).astype(np.int64)
+        self.to2, self.to1 = self.two.take(self.state), self.one.take(self.state)
 
     def learn(self, ids: np.ndarray, outcome: np.ndarray) -> None:
         for guess, conf, kept, sure, at in (
             (self.guess2, self.conf2, self.id2, self.sure2, self.slot),
             (self.guess1, self.conf1, self.id1, self.sure1, self.before1),
         ):
-            hit = guess == ids
-            now = np.where(hit, np.minimum(conf + 1, 7), conf >> 1).astype(np.int8)
-            fresh = np.flatnonzero((now == 0) & ~hit)
+            now = CONFIDENCE.take(((guess == ids).view(np.int8) << 3) | conf)
             sure[at] = now
-            kept[at[fresh]] = ids[fresh]
+            kept[at] = np.where(now == 0, ids, guess)
         self.right += np.bincount(self.state * 3 + outcome, minlength=384).reshape(128, 3)
         self.seen.append(ids[outcome == 2])
         self.before2, self.before1 = self.before1, ids
         self.step += 1
         if self.step % STEP_REFRESH == 0 or self.step < 8:
             self._weigh()
-            self.counts += GAIN * np.bincount(np.concatenate(self.seen), minlength=self.vocabulary)
+            self.counts += (GAIN * np.bincount(np.concatenate(self.seen), minlength=self.vocabulary)).astype(np.int32)
             self.seen = []
             if int(self.counts.sum()) >= TOTAL_BOUND:
                 self.counts = (self.counts + 1) >> 1
@@ -120,13 +121,15 @@ def encode_block(ids: np.ndarray, vocabulary: int = 1 << 16) -> bytes:
     lane_of, word_of = [], []
     for now in grid:
         model.predict()
-        outcome = np.where(now == model.guess2, 0, np.where(now == model.guess1, 1, 2))
+        not2 = now != model.guess2
+        not1 = not2 & (now != model.guess1)
+        outcome = not2.view(np.int8) + not1.view(np.int8)
         unit = size >> U(MIX_BITS)
-        start = np.where(outcome == 0, U(0), np.where(outcome == 1, model.to2, model.to1))
-        end = np.where(outcome == 0, model.to2, np.where(outcome == 1, model.to1, U(1 << MIX_BITS)))
+        start = np.where(not1, model.to1, model.to2 * not2)
+        end = np.where(not1, U(1 << MIX_BITS), np.where(not2, model.to1, model.to2))
         low += start * unit
         size = (end - start) * unit
-        rest = np.flatnonzero(outcome == 2)
+        rest = np.flatnonzero(not1)
         chosen = now[rest]
         unit = size[rest] // U(model.total)
         low[rest] += model.upto[chosen].astype(U) * unit
@@ -187,16 +190,16 @@ def decode_block(block: bytes) -> np.ndarray:
         model.predict()
         unit = size >> U(MIX_BITS)
         point = (code - low) // unit
-        is2, not1 = point < model.to2, point >= model.to1
-        outcome = np.where(is2, 0, np.where(not1, 2, 1))
-        start = np.where(is2, U(0), np.where(not1, model.to1, model.to2))
-        end = np.where(is2, model.to2, np.where(not1, U(1 << MIX_BITS), model.to1))
+        not2, not1 = point >= model.to2, point >= model.to1
+        outcome = not2.view(np.int8) + not1.view(np.int8)
+        start = np.where(not1, model.to1, model.to2 * not2)
+        end = np.where(not1, U(1 << MIX_BITS), np.where(not2, model.to1, model.to2))
         low += start * unit
         size = (end - start) * unit
-        now = np.where(is2, model.guess2, model.guess1).astype(np.int64)
+        now = np.where(not2, model.guess1, model.guess2).astype(np.int64)
         rest = np.flatnonzero(not1)
         unit = size[rest] // U(model.total)
-        point = np.minimum((code[rest] - low[rest]) // unit, U(model.total - 1)).astype(np.int64)
+        point = np.minimum((code[rest] - low[rest]) // unit, U(model.total - 1)).astype(np.int32)
         chosen = np.searchsorted(model.upto, point, "right") - 1
         low[rest] += model.upto[chosen].astype(U) * unit
         size[rest] = model.counts_of(chosen) * unit

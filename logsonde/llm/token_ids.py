@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 
@@ -15,8 +16,26 @@ PLAIN = re.compile(r"[\t\n\r\x20-\x7e¡«»¿À-ÖØ-öø-įĲ-ňŊ-ž]*")
 #: The word pattern of `word_bpe_49k.json`, written with Python's classes, for plain texts.
 PRE_TOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 
-#: Words and pre-tokens remembered by one worker; a memory is emptied when full: this bounds its size, not its results.
-REMEMBERED_CHUNKS, REMEMBERED_TOKENS = 1 << 18, 1 << 19
+#: Words, and pre-tokens, remembered by one worker; a full memory forgets all but those it met first, the frequent ones
+#: among them: this bounds its size, not its results.
+REMEMBERED = 1 << 19
+
+
+class Memory(dict):
+    """Values by key, made by `make` when first asked for."""
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, key: str) -> bytes:
+        value = self[key] = self.make(key)
+        return value
+
+    def bounded(self) -> None:
+        if len(self) > REMEMBERED:
+            kept = list(islice(self.items(), REMEMBERED // 2))
+            self.clear()
+            self.update(kept)
 
 
 def byte_letters() -> list[str]:
@@ -48,8 +67,7 @@ class TokenIds:
         self.model = self.tokenizer.model
         self.by_word = os.path.basename(path) == "word_bpe_49k.json"
         self.letters = byte_letters()
-        self.by_chunk: dict[str, bytes] = {}
-        self.by_token: dict[str, bytes] = {}
+        self.by_chunk, self.by_token = Memory(self._chunk), Memory(self._token)
 
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -60,13 +78,14 @@ class TokenIds:
             spelled = token
         else:
             spelled = "".join([self.letters[b] for b in token.encode()])
-        ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(spelled)])
-        self.by_token[token] = ids
-        return ids
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(spelled)])
 
     def _chunk(self, chunk: str) -> bytes:
-        known = self.by_token
-        return b"".join([known.get(t) or self._token(t) for t in PRE_TOKEN.findall(chunk)])
+        if chunk.isalpha():
+            return self.by_token[chunk]
+        if chunk[-1] in ".," and chunk[:-1].isalpha():
+            return self.by_token[chunk[:-1]] + self.by_token[chunk[-1]]
+        return b"".join(map(self.by_token.__getitem__, PRE_TOKEN.findall(chunk)))
 
     def encode(self, text: str | None) -> bytes:
         """Little-endian 32-bit ids of a text; a null text is empty."""
@@ -74,14 +93,9 @@ class TokenIds:
             return b""
         if not self.by_word or "<|" in text or not PLAIN.fullmatch(text):
             return self._whole(text)
-        if len(self.by_chunk) > REMEMBERED_CHUNKS:
-            self.by_chunk.clear()
-        if len(self.by_token) > REMEMBERED_TOKENS:
-            self.by_token.clear()
-        chunks, known = text.lower().split(), self.by_chunk
-        for chunk in set(chunks).difference(known):
-            known[chunk] = self._chunk(chunk)
-        return b"".join(map(known.__getitem__, chunks))
+        self.by_chunk.bounded()
+        self.by_token.bounded()
+        return b"".join(map(self.by_chunk.__getitem__, text.lower().split()))
 
 
 @lru_cache(maxsize=2)
