@@ -242,16 +242,18 @@ def remove_items(
     """`docs` without benchmark text: hit spans are cut out; a text of which more than `max_coverage` of the words
     was hit goes altogether.
 
-    Cutting is repeated on what is left, since its ends may join to a new run, so that a second pass finds nothing.
+    Cutting is repeated on what is left, since its ends may join to a new run, so that a second pass finds nothing. Each round
+    cuts the hits of all items at once, and the share of hit words is taken of all rounds together, whether one automaton
+    holds the items or several do.
     All columns stay; n_chars, if there is one, is counted anew where the text changed. Texts without a hit stay as they
     are; nulls, empty texts and repeated rows are kept.
     """
     columns = docs.columns
-    changed = [T.StructField("text", T.StringType()), T.StructField("__hit", T.DoubleType())]
-    out = docs
-    for make in automata(benchmark, window, automaton_words):
+    makers = list(automata(benchmark, window, automaton_words))
+    if len(makers) == 1:
+        changed = [T.StructField("text", T.StringType()), T.StructField("__hit", T.DoubleType())]
 
-        def task(make=make):
+        def task(make=makers[0]):
             automaton = make()
 
             def cut(texts: list[str | None]) -> list[list]:
@@ -270,11 +272,72 @@ def remove_items(
 
             return cut
 
-        out = map_texts(out, task, T.StructType(changed), out.columns).where(F.col("__hit") <= max_coverage)
-        if "n_chars" in columns:
-            out = out.withColumn("n_chars", F.when(F.col("__hit") > 0, F.length("text")).otherwise(F.col("n_chars")))
-        out = out.select(*[F.col(f"`{c}`") for c in columns])
-    return out
+        out = map_texts(docs, task, T.StructType(changed), columns)
+    else:
+        out = _cut_in_rounds(docs, makers)
+    out = out.where(F.col("__hit") <= max_coverage)
+    if "n_chars" in columns:
+        out = out.withColumn("n_chars", F.when(F.col("__hit") > 0, F.length("text")).otherwise(F.col("n_chars")))
+    return out.select(*[F.col(f"`{c}`") for c in columns])
+
+
+SPANS = T.StructType([FOUND["spans"]])
+CUT = T.StructType(
+    [T.StructField("text", T.StringType()), T.StructField("__n", T.LongType()), T.StructField("__now", T.LongType())]
+)
+
+
+def _cut_in_rounds(docs: DataFrame, makers: list[Callable[[], Automaton]]) -> DataFrame:
+    """`docs` with the hits of all automata cut out, and `__hit`, the part of a text's first words that was hit.
+
+    A round looks for spans with one automaton after the other, on the same texts, and cuts them together; texts that
+    changed go on to the next round. Texts are shuffled once in each round that they take part in.
+    """
+
+    def finder(make: Callable[[], Automaton]):
+        def task():
+            automaton = make()
+            return lambda texts: [[[{"start": a, "end": b} for a, b in automaton.find(words(t))[0]] for t in texts]]
+
+        return task
+
+    def cutter():
+        def cut(rows: list[dict]) -> list[list]:
+            kept, n_words, now = [], [], []
+            for row in rows:
+                text, found = row["text"], row["spans"]
+                spans = merged((x["start"], x["end"]) for x in found) if found else []
+                n_words.append(len(words(text)) if spans else None)
+                now.append(sum(b - a for a, b in spans))
+                kept.append(cut_words(text, spans) if spans else text)
+            return [kept, n_words, now]
+
+        return cut
+
+    left = docs.withColumns({"__row": F.monotonically_increasing_id(), "__words": F.lit(None).cast("long"), "__cut": F.lit(0).cast("long")})
+    left = materialize(left, "texts")
+    done = None
+    while True:
+        found = None
+        for make in makers:
+            part = map_texts(left.select("__row", "text"), finder(make), SPANS, ["__row"]).where("size(spans) > 0")
+            part = materialize(part, "found")
+            found = part if found is None else found.union(part)
+        # At most one row for each pass and document, so a group is as large as the number of passes.
+        spans = found.groupBy("__row").agg(F.flatten(F.collect_list("spans")).alias("__spans"))
+        both = left.join(spans, "__row", "left").withColumn("__both", F.struct("text", F.col("__spans").alias("spans")))
+        kept = [*docs.columns, "__row", "__words", "__cut"]
+        after = map_texts(both, cutter, CUT, kept, text="__both").withColumns(
+            {"__words": F.coalesce("__words", "__n"), "__cut": F.col("__cut") + F.col("__now")}
+        )
+        after = materialize(after, "cut")
+        settled = after.where("__now = 0")
+        done = settled if done is None else done.union(settled)
+        left = after.where("__now > 0").drop("__n", "__now")
+        if left.isEmpty():
+            break
+    hit = F.when(F.col("__words") > 0, F.col("__cut") / F.col("__words")).otherwise(0.0)
+    return done.select(*[F.col(f"`{c}`") for c in docs.columns], hit.alias("__hit"))
 
 
 def cut_words(text: str, spans: list[tuple[int, int]]) -> str:

@@ -100,6 +100,28 @@ def test_removed_runs_do_not_come_back(spark):
     out.unpersist()
 
 
+def test_removal_is_the_same_in_one_pass_and_in_several(spark):
+    items, docs = leaks(random.Random(6))
+    runs = [[f"r{i}x{k}" for k in range(12)] for i in range(9)]  # nine items, dealt over several shares
+    items += [(100 + i, " ".join(run)) for i, run in enumerate(runs)] + [(200, " ".join(f"j{k}" for k in range(12)))]
+    joined = [f"j{k}" for k in range(6)], [f"j{k}" for k in range(6, 12)]
+    texts = [
+        " ".join(sum(([*run, "own"] for run in runs), [])),  # over 0.8 only when all items count
+        *(" ".join([*runs[i], *["own"] * 2, *runs[(i + 1) % 9][:10], *["own"] * 2]) for i in range(9)),
+        *(" ".join([*["own"] * 30, *joined[0], *runs[i], *joined[1]]) for i in range(9)),  # a cut joins a run of another item
+        *(" ".join([*["own"] * 30, *runs[i], *runs[(i + 1) % 9], "own"]) for i in range(9)),  # hits that touch
+    ]
+    docs += [(1000 + i, t, "x", len(t)) for i, t in enumerate(texts)]
+    bench, table = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(docs, SCHEMA)
+    one, several = (
+        sorted(map(tuple, remove_items(table, bench, automaton_words=n).collect()), key=str) for n in (200_000, 40)
+    )
+    assert several == one
+    assert not {1000, *range(1001, 1010)} & {r[0] for r in several}
+    assert find_items(spark.createDataFrame(several, SCHEMA), bench).where("size(spans) > 0").count() == 0
+    assert remove_items(table.limit(0), bench, automaton_words=40).count() == 0
+
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
