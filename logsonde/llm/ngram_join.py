@@ -8,7 +8,8 @@ Chosen paths split all sets recursively: a node (a path of sampled places and th
 threshold keeps about one common node at every depth, while unrelated sets part soon. At depth 4 buckets are small and their
 sketches are compared by brute force; larger buckets are split further, and what is still large at the greatest
 depth, sets that agree almost everywhere, is one candidate group without comparison. Runs with other samples are
-repeated until a pair at the threshold is missed with a probability below 1 - `recall`.
+repeated until a pair at the threshold is missed with a probability below 1 - `recall`, also where all its nodes are split to
+the greatest depth, and averaged over the agreement of the one sketch that all runs share.
 
 What the sketches find are candidate groups only; inside each, all pairs are then compared exactly on the whole sets.
 """
@@ -86,17 +87,42 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def survival(threshold: float, depth: int) -> float:
-    """The probability that a pair at the threshold still shares a node at this depth of one run."""
-    q, extra = 1.0, 1 / threshold - 1
-    for _ in range(depth):
-        p = threshold * q
-        q = (1 - extra) * p + extra * (1 - (1 - p) ** 2)
+def survival(agreement: float, depth: int, threshold: float | None = None, deeper: int = 0) -> float:
+    """The probability that a pair whose sketches agree in this part of the places still shares a node of one run after
+    `depth` levels, and `deeper` levels of two places each; `threshold`, by default the agreement, sets the places of the first."""
+    q, extra = 1.0, 1 / (agreement if threshold is None else threshold) - 1
+    for level in range(deeper + depth):  # from the lowest level up
+        p = agreement * q
+        second = 1.0 if level < deeper else extra
+        q = (1 - second) * p + second * (1 - (1 - p) ** 2)
     return q
 
 
+def cutoff_of(threshold: float) -> float:
+    """The part of the places in which sketches of a bucket must agree to be a candidate."""
+    return threshold - 4.2 * math.sqrt(threshold * (1 - threshold) / PLACES)
+
+
+def missed(runs: int, threshold: float = THRESHOLD) -> float:
+    """The probability that a pair at the threshold is no candidate, if all its nodes are split down to the greatest depth.
+
+    All runs sample the same sketch, so they miss a pair independently only given the number of places in which it agrees,
+    which is binomial. In small buckets, pairs below the cutoff are missed too.
+    """
+    total = 0.0
+    for k in range(PLACES + 1):
+        chance = math.comb(PLACES, k) * threshold**k * (1 - threshold) ** (PLACES - k)
+        found = survival(k / PLACES, FIRST_DEPTH, threshold, GREATEST_DEPTH - FIRST_DEPTH)
+        total += chance * (1.0 if k < cutoff_of(threshold) * PLACES else (1 - found) ** runs)
+    return total
+
+
 def runs_for(recall: float, threshold: float = THRESHOLD) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - survival(threshold, FIRST_DEPTH)))
+    """The fewest runs after which a pair at the threshold is missed with a probability of at most 1 - `recall`."""
+    for runs in range(1, 1000):
+        if missed(runs, threshold) <= 1 - recall:
+            return runs
+    raise ValueError(f"sketches of {PLACES} places do not reach a recall of {recall} at {threshold}")
 
 
 def step(row: np.ndarray, path: np.ndarray, sketch: np.ndarray, second: float) -> tuple[np.ndarray, np.ndarray]:
@@ -222,7 +248,7 @@ def _candidates(classes: DataFrame, threshold: float, recall: float) -> DataFram
                 row, path = step(row, path, sketch, 1.0)
             yield _unique(batch["node"].to_numpy()[row], path)
 
-    cutoff = threshold - 4.2 * math.sqrt(threshold * (1 - threshold) / PLACES)
+    cutoff = cutoff_of(threshold)
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out: list[np.ndarray] = []

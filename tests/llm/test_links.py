@@ -135,6 +135,29 @@ def test_runs_reach_the_recall():
     assert missed <= 2
 
 
+def test_runs_reach_the_recall_where_all_buckets_are_split():
+    rng, pairs = np.random.default_rng(5), 20_000
+    sketch = []
+    for _ in range(20):  # pairs of sets of similarity 0.8
+        drawn = rng.integers(0, 2**63, (pairs // 20, 250), dtype=np.uint64)
+        sketch.append(ngram_join.sketches([x for d in drawn for x in (d[:225], np.concatenate([d[:200], d[225:]]))]))
+    sketch = np.concatenate(sketch)
+    small, split = np.zeros(pairs, bool), np.zeros(pairs, bool)
+    for run in range(runs_for(0.9995)):
+        row, path = np.arange(2 * pairs), np.full(2 * pairs, ngram_join.mixed(np.array([run + 1], np.uint64))[0])
+        for depth in range(ngram_join.GREATEST_DEPTH):
+            row, path = ngram_join.step(row, path, sketch, 0.25 if depth < ngram_join.FIRST_DEPTH else 1.0)
+            nodes = pd.DataFrame({"row": row, "pair": row // 2, "path": path}).drop_duplicates()
+            nodes = nodes[nodes.duplicated(["pair", "path"], keep=False)]  # a node of one of the two never meets again
+            row, path = nodes["row"].to_numpy(), nodes["path"].to_numpy()
+            if depth + 1 == ngram_join.FIRST_DEPTH:
+                small[nodes["pair"]] = True
+        split[nodes["pair"]] = True
+    bound = 0.0005 * pairs + 3 * (0.0005 * pairs) ** 0.5
+    print("missed of", pairs, "small", (~small).sum(), "split", (~split).sum())
+    assert (~small).sum() <= bound and (~split).sum() <= bound
+
+
 def vectors(rng):
     rows = []
     for label in (1, 2, None):
