@@ -1,7 +1,8 @@
 """Token counts of a unigram vocabulary: dynamic programming over a trie of the distinct pre-tokens.
 
 A pre-token is a word between white space, with the mark of a word start before it. Its segmentation is the one whose
-pieces have the highest sum of scores (the scores of the vocabulary file); among equals, the one of fewest pieces. The forward
+pieces have the highest sum of scores (the scores of the vocabulary file); among equals, the one of fewest pieces. Scores of a
+byte-pair model are merge ranks, not log probabilities: with them, counts are no unigram model's, nor the library's. The forward
 score of a prefix depends on its letters alone, so words that share a prefix share its scores: the distinct words of a slice of texts are
 visited in order, which walks their trie depth first, and each node is scored once. Terminal counts are remembered.
 """
