@@ -17,10 +17,12 @@ from logsonde.llm.placement import Tree, place
 from logsonde.llm.quality import fit_quality, rate_quality
 from logsonde.llm.secrets_scan import scan_secrets
 from logsonde.llm.token_counts import count_tokens
-from logsonde.llm.token_ids import tokenizer_path
+from logsonde.llm.token_ids import tokenizer_path, tokenizer_pattern
 from logsonde.llm.token_output import read_tokens, write_tokens
+from logsonde.llm.window_packing import pack_online
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
 WORD_TOKENIZER = "word_bpe_49k.json"
 SHARDS = 16
@@ -123,6 +125,12 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(docs, fit_field(docs))
 
 
+def op11_online_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document and its place in a sequence of 2048 tokens, packed as the documents come."""
+    ranks, pattern = tokenizer_path(BYTE_RANKS), tokenizer_pattern()
+    return pack_online(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_TOKENIZER), ranks, pattern, end_id=1)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": op1_token_output,
     "op2_packing": op2_packing,
@@ -134,6 +142,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_embedding_links": op9_embedding_links,
     "op10_personal_data": op10_personal_data,
+    "op11_online_packing": op11_online_packing,
 }
 
 ORACLES: dict[str, str] = {"op4_decontamination": OP4_SQL}

@@ -51,6 +51,13 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def tokenizer_pattern() -> str:
+    """The pattern that splits texts for the byte-level vocabularies."""
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
 class TokenIds:
     """Ids of texts, equal to `Tokenizer.encode(text, add_special_tokens=False).ids`.
 
