@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from logsonde.llm.common import shared_folder, table
 from logsonde.llm.decontamination import find_items
 from logsonde.llm.embedding_links import embedding_links
+from logsonde.llm.hard_negatives import mine_negatives
 from logsonde.llm.ngram_join import ngram_links
 from logsonde.llm.packing import pack
 from logsonde.llm.personal_data import find_personal_data, fit_field
+from logsonde.llm.phrase_mining import mine_phrases
 from logsonde.llm.placement import Tree, place
 from logsonde.llm.quality import fit_quality, rate_quality
 from logsonde.llm.secrets_scan import scan_secrets
@@ -131,6 +133,76 @@ def op11_online_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_online(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_TOKENIZER), ranks, pattern, end_id=1)
 
 
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best 2,000 phrases of each language, by their collocation score."""
+    return mine_phrases(table(spark, sf_dir, "documents"), least=100, depth=5, top=2000)
+
+
+#: All phrases of one to five words of all pieces, counted; every cut of every frequent one.
+OP12_SQL = r"""
+WITH piece AS (
+  SELECT lang, regexp_extract_all(part, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS part
+    FROM documents)
+), gram AS (
+  SELECT lang, d, array_to_string(w[i:i + d - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, d, unnest(range(1, len(w) - d + 2)) AS i FROM piece, (SELECT unnest(range(1, 6)) AS d))
+  GROUP BY lang, d, phrase
+), total AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM gram WHERE d = 1 GROUP BY lang
+), candidate AS (
+  SELECT lang, d, phrase, f AS a, string_split(phrase, ' ') AS w FROM gram WHERE d > 1 AND f >= 100
+), cut AS (
+  SELECT c.lang, c.phrase, c.a, k, l.f AS l, r.f AS r, n, (CAST(1000 AS HUGEINT) * c.a * n) // (CAST(l.f AS HUGEINT) * r.f) AS score
+  FROM (SELECT *, unnest(range(1, d)) AS k FROM candidate) c
+  JOIN gram l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:k], ' ') AND l.d = k
+  JOIN gram r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1:c.d], ' ') AND r.d = c.d - k
+  JOIN total t ON t.lang = c.lang
+), lowest AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), open AS (
+  SELECT * FROM lowest p WHERE NOT EXISTS (
+    SELECT 1 FROM candidate q WHERE q.lang = p.lang AND len(q.w) > len(string_split(p.phrase, ' ')) AND 100 * q.a >= 100 * p.a
+      AND contains(' ' || q.phrase || ' ', ' ' || p.phrase || ' '))
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n,
+  CAST(score AS BIGINT) AS score
+FROM open QUALIFY rank <= 2000
+"""
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every hundredth vector and each of its five positives, five vectors of other labels that score nearly as high."""
+    return mine_negatives(
+        table(spark, sf_dir, "embeddings"),
+        is_anchor=lambda vec_id: vec_id % 100 == 0,
+        relabel=lambda vec_id, label: F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label),
+    )
+
+
+#: The anchors' scores against all rows.
+OP13_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS w
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_dot_product(a.w, b.w) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positive AS (
+  SELECT anchor_id, id, score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, p.id AS positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) AS INTEGER) AS rank,
+  n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positive p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+  AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+QUALIFY rank <= 5
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": op1_token_output,
     "op2_packing": op2_packing,
@@ -143,6 +215,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_embedding_links": op9_embedding_links,
     "op10_personal_data": op10_personal_data,
     "op11_online_packing": op11_online_packing,
+    "op12_phrase_mining": op12_phrase_mining,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
-ORACLES: dict[str, str] = {"op4_decontamination": OP4_SQL}
+ORACLES: dict[str, str] = {
+    "op4_decontamination": OP4_SQL,
+    "op12_phrase_mining": OP12_SQL,
+    "op13_hard_negatives": OP13_SQL,
+}

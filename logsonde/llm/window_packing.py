@@ -31,7 +31,7 @@ from logsonde.llm.token_ids import PLAIN
 CAPACITY = 2048
 WINDOWS = 128
 SLACK = 32
-MERGED = 32
+MERGED = 8
 ROWS = "part int, window int, doc_id long, start long, length long, doc_tokens long, offset long, open boolean, ids_crc32 long, ids binary"
 NAMES = [c.split()[0] for c in ROWS.split(", ")]
 
