@@ -10,6 +10,7 @@ import operator
 from collections.abc import Callable
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from logsonde.functions.typing import parse_timestamp, to_number, with_date_parts
@@ -40,6 +41,7 @@ TRAILING_MINUTES = 360
 LIMIT = 1000
 SAMPLE_ROWS = 5000
 SAMPLE_SEQUENCES = 500
+CLUSTER_PASSES = 2
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -462,33 +464,42 @@ _add(
 )
 
 
-_FITTED: dict[tuple[str, str], dict] = {}
+_FITTED: dict[tuple, dict] = {}
 
 
-def _clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events with their cluster for each k. The models of an input are fitted once in a session."""
-    vectors = segments.feature_vectors(read_telemetry(spark, sf_dir))
-    at = (spark.sparkContext.applicationId, sf_dir)
+def _fitted(t: DataFrame) -> tuple[DataFrame, dict]:
+    """The events with their clusters, and the models. Models are kept for a session, by the content of what they were fitted on."""
+    vectors = segments.feature_vectors(t)
+    total = F.sum(F.xxhash64("features").cast("decimal(38,0)"))
+    at = (t.sparkSession.sparkContext.applicationId, *vectors.agg(F.count("*"), total).first())
     if at not in _FITTED:
         _FITTED[at] = segments.fit_kmeans(vectors)
-    return segments.by_k(segments.assign(vectors, _FITTED[at]))
+    return segments.assign(vectors, _FITTED[at]), _FITTED[at]
+
+
+def _passed(t: DataFrame) -> DataFrame:
+    """The events with the clusters of CLUSTER_PASSES passes from the first events as centres, which SQL can follow."""
+    vectors = segments.feature_vectors(t)
+    first = [r["features"] for r in vectors.orderBy("EventSeq").limit(max(segments.K_VALUES)).select("features").collect()]
+    initial = {k: np.array(first[:k]) for k in segments.K_VALUES}
+    return segments.assign(vectors, segments.fit_kmeans(vectors, max_iterations=CLUSTER_PASSES, initial=initial))
 
 
 def _on_clusters(name: str, fn: Callable[[DataFrame], DataFrame]) -> None:
-    QUERIES[name] = lambda spark, sf_dir: plain(fn(_clusters(spark, sf_dir)))
+    _add(f"clu_{name}", lambda t: fn(segments.by_k(_fitted(t)[0])))
+    _add(f"clu_pass_{name}", lambda t: fn(segments.by_k(_passed(t))))
 
 
-_on_clusters("clu_kmeans", lambda c: c.select("EventSeq", "k", "cluster"))
-_on_clusters("clu_sizes", lambda c: segments.sizes(c, ["k", "cluster"]))
-_on_clusters("clu_means", lambda c: segments.means(c, ["k", "cluster"]))
-_on_clusters("clu_shares", lambda c: segments.shares(c, ["k", "cluster"]))
+_on_clusters("kmeans", lambda c: c.select("EventSeq", "k", "cluster"))
+_on_clusters("sizes", lambda c: segments.sizes(c, ["k", "cluster"]))
+_on_clusters("means", lambda c: segments.means(c, ["k", "cluster"]))
+_on_clusters("shares", lambda c: segments.shares(c, ["k", "cluster"]))
 
 
 @_on_telemetry("clu_checks")
 def _cluster_checks(t: DataFrame) -> DataFrame:
-    """Properties of the fits: every event in its nearest cluster, centres at the means, more clusters cheaper."""
-    vectors = segments.feature_vectors(t)
-    return segments.checks(vectors, segments.fit_kmeans(vectors, starts=2))
+    """Properties of the fits that the queries return: every event in its nearest cluster, centres at the means, more clusters cheaper."""
+    return segments.checks(*_fitted(t))
 
 
 @_on_telemetry("ano_checks")

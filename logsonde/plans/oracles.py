@@ -298,14 +298,13 @@ _IMPUTED = (
 )
 
 
+def _z(c: str) -> str:
+    return f"({c} - avg({c}) OVER ()) / CASE WHEN stddev_pop({c}) OVER () = 0 THEN 1 ELSE stddev_pop({c}) OVER () END"
+
+
 def _standard(source: str) -> str:
-    return "SELECT EventSeq, " + ", ".join(
-        r6(
-            f"({c} - avg({c}) OVER ()) / CASE WHEN stddev_pop({c}) OVER () = 0 THEN 1 ELSE stddev_pop({c}) OVER () END",
-            f'"z_{c}"',
-        )
-        for c in MODEL_FEATURES
-    ) + f" FROM {source}"
+    names = ", ".join(r6(_z(c), f'"z_{c}"') for c in MODEL_FEATURES)
+    return f"SELECT EventSeq, {names} FROM {source}"
 
 
 ORACLES["ano_impute"] = f'{cte(_GAPS, _IMPUTED)} SELECT EventSeq, {", ".join(r6(c, chr(34) + c + chr(34)) for c in MODEL_FEATURES)} FROM im'
@@ -627,6 +626,34 @@ ORACLES["clu_checks"] = f"""{cte()},
 n AS (SELECT count(*) AS n FROM t WHERE {" AND ".join(f"{c} IS NOT NULL" for c in MODEL_FEATURES)})
 SELECT k::BIGINT AS k, n AS events, k::BIGINT AS clusters, 0::BIGINT AS nearer_to_another, true AS centres_are_means,
   true AS cheaper_than_fewer FROM n, (VALUES (3), (5), (8)) x(k)"""
+
+
+def _cluster_passes(passes: int = 2) -> str:
+    """CTEs of k-means from the first events as centres: c0, a0 (nearest), c1 (means) ... and `found`, the events with k and cluster."""
+    dims = range(1, len(MODEL_FEATURES) + 1)
+    out = f"""z AS MATERIALIZED (SELECT EventSeq, [{", ".join(map(_z, MODEL_FEATURES))}] AS x FROM full_rows),
+c0 AS (SELECT k, i - 1 AS cluster, x FROM (SELECT row_number() OVER (ORDER BY EventSeq) AS i, x FROM z ORDER BY EventSeq LIMIT 8),
+  (VALUES (3), (5), (8)) ks(k) WHERE i <= k)"""
+    for p in range(passes + 1):
+        out += f""",
+a{p} AS MATERIALIZED (SELECT EventSeq, k, cluster, z.x FROM z JOIN c{p} c ON true
+  QUALIFY row_number() OVER (PARTITION BY EventSeq, k ORDER BY list_distance(z.x, c.x), cluster) = 1),
+c{p + 1} AS (SELECT c.k, c.cluster, coalesce(m.x, c.x) AS x FROM c{p} c LEFT JOIN (SELECT k, cluster,
+  [{", ".join(f"avg(x[{d}])" for d in dims)}] AS x FROM a{p} GROUP BY k, cluster) m ON m.k = c.k AND m.cluster = c.cluster)"""
+    return out + f""",
+found AS (SELECT g.*, a.k::BIGINT AS k, a.cluster::BIGINT AS cluster FROM full_rows g JOIN a{passes} a ON a.EventSeq = g.EventSeq)"""
+
+
+_FOUND = f"""{cte()}, full_rows AS (SELECT * FROM t WHERE {" AND ".join(f"{c} IS NOT NULL" for c in MODEL_FEATURES)}),
+{_cluster_passes()}"""
+ORACLES["clu_pass_kmeans"] = f"{_FOUND} SELECT EventSeq, k, cluster FROM found"
+ORACLES["clu_pass_sizes"] = f'{_FOUND} SELECT k, cluster, count(*) AS "count" FROM found GROUP BY k, cluster'
+ORACLES["clu_pass_means"] = f"""{_FOUND}
+SELECT k, cluster, count(*) AS "count", {", ".join(f'round_even(avg({c}), 2) AS "{c}"' for c in MODEL_FEATURES)}
+FROM found GROUP BY k, cluster"""
+ORACLES["clu_pass_shares"] = f"""{_FOUND}
+SELECT k, cluster, count(*) AS "count", {", ".join(f'round_even(avg({x}), 4) AS "{n}"' for n, x in _SHARES.items())}
+FROM found GROUP BY k, cluster"""
 ORACLES["ano_checks"] = f"""{cte()}
 SELECT count(*) AS events, count(*) AS in_range, true AS same_again, true AS share_is_met FROM t"""
 

@@ -185,7 +185,8 @@ def test_segments_without_spike_columns(spark, events):
     bare = events.drop("IsSpikeByLatency", "IsSpikeByCpu", "IsSpikeByQps")
     assert "pct_IsSpikeByCpu" not in segments.shares(bare, ["SourceSystem"]).columns
     vectors = segments.feature_vectors(events, MODEL_FEATURES).cache()
-    rows = segments.checks(vectors, segments.fit_kmeans(vectors, [2, 4], starts=2)).collect()
+    models = segments.fit_kmeans(vectors, [2, 4], starts=2)
+    rows = segments.checks(segments.assign(vectors, models), models).collect()
     assert [r["clusters"] for r in rows] == [2, 4] and not any(r["nearer_to_another"] for r in rows)
     assert all(r["centres_are_means"] and r["cheaper_than_fewer"] for r in rows)
     vectors.unpersist()
