@@ -1,135 +1,144 @@
 """Exact quantiles that never gather the values of a metric in one task.
 
-1. One pass makes a sketch per metric (`percentile_approx`, bounded size) and reads from it a
+1. One scan makes a sketch per metric (`percentile_approx`, bounded size) and reads from it a
    bracket around each wanted quantile. The sketch's error is bounded, so the bracket holds it.
-2. One pass counts rows per value inside the brackets, and per gap outside them. Partial
-   aggregation keeps the shuffle to the distinct values of about 4/accuracy of the ranks.
-3. Each bracket is cut into cells, a running count over the cells finds those that hold the wanted
-   ranks, and only the values of these cells are ordered.
+2. One scan counts, for every bracket, the rows below it, at its ends and inside. A wanted rank at an end is
+   known now, however many rows share that value.
+3. Where a rank is inside, one scan counts the rows per value there: about 4/accuracy of the ranks.
+   These values are cut into cells of equal numbers of values by a sketch of their own, so that skew inside a bracket does not matter;
+   only the values of the cell that holds the rank are ordered.
+
+The result is computed at once: what uses it plans it as constants and never computes it again.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from logsonde.functions.storage import materialize
 from logsonde.functions.typing import to_number
 
 CELLS = 512
+ACCURACY = 10_000
 
 
-def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], accuracy: int = 10_000) -> DataFrame:
+def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], accuracy: int = ACCURACY) -> DataFrame:
     """One row: for each of `columns` an array of its exact quantiles at `probs`.
 
     Quantiles are interpolated linearly between the two nearest values; nulls are ignored, and a
     metric without values gives an array of nulls. Infinite values are ordinary ends of the order.
     """
-    base = df.select(*[to_number(c).alias(c) for c in columns])
-    return _distributed(base, list(columns), list(probs), accuracy)
-
-
-def _distributed(base: DataFrame, columns: list[str], probs: list[float], accuracy: int) -> DataFrame:
-    ordered = sorted(range(len(probs)), key=lambda i: probs[i])
+    columns, probs = list(columns), [float(p) for p in probs]
+    base = df.select(*[to_number(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    brackets, totals = _brackets(base, len(columns), probs, accuracy)
+    ends = _counted(base, brackets)
+
+    values: dict[tuple[int, int, int], float] = {}  # by column, probability and rank
+    inner: dict[tuple[int, int], list[int]] = {}
+    for (i, j), (lo, hi) in brackets.items():
+        below, at_lo, at_hi, inside, before, after = ends[i, j]
+        rank = probs[j] * (totals[i] - 1)
+        for at in {math.floor(rank), math.ceil(rank)}:
+            place = at - below
+            if 0 <= place < at_lo:
+                values[i, j, at] = lo
+            elif at_lo <= place < at_lo + inside:
+                inner.setdefault((i, j), []).append(at)
+            elif at_lo + inside <= place < at_lo + inside + at_hi:
+                values[i, j, at] = hi
+            elif place in (-1, at_lo + inside + at_hi):  # with few rows, the rank beside the bracket
+                values[i, j, at] = before if place < 0 else after
+            else:
+                raise ValueError("quantile outside its bracket")
+    if inner:
+        wanted = {slot: [at - ends[slot][0] - ends[slot][1] for at in ats] for slot, ats in inner.items()}
+        found = _inner_values(base, {slot: brackets[slot] for slot in inner}, wanted)
+        for slot, ats in inner.items():
+            values |= {(*slot, at): found[slot, at - ends[slot][0] - ends[slot][1]] for at in ats}
+
+    def quantile(i: int, j: int) -> float | None:
+        if not totals[i]:
+            return None
+        rank = probs[j] * (totals[i] - 1)
+        low, high = (values[i, j, f(rank)] for f in (math.floor, math.ceil))
+        return low if low == high else low + (high - low) * (rank - math.floor(rank))
+
+    row = tuple([quantile(i, j) for j in range(len(probs))] for i in range(len(columns)))
+    return df.sparkSession.createDataFrame([row], ", ".join(f"`{c}` array<double>" for c in columns))
+
+
+Brackets = dict[tuple[int, int], tuple[float, float]]
+
+
+def _brackets(base: DataFrame, n: int, probs: list[float], accuracy: int) -> tuple[Brackets, list[int]]:
+    """The ends of the bracket of each column and probability, and the values of each column."""
     slack = 2.0 / accuracy
-    around = [
-        p for i in ordered for p in (max(0.0, probs[i] - slack), min(1.0, probs[i] + slack))
-    ]
-    sketch = base.agg(
-        *[F.percentile_approx(c, around, accuracy).alias(f"{c}__edges") for c in columns]
-    )
-    rows = base.crossJoin(F.broadcast(sketch)).select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("metric"), F.col(c).alias("v"), F.col(f"{c}__edges").alias("e"))
-                    for c in columns
-                ]
-            )
-        )
-    )
-    counted = (
-        rows.filter("v IS NOT NULL")
-        .select("metric", "v", *_cell(len(probs)))
-        .groupBy("metric", "part", "cell", F.when(F.col("cell") >= 0, F.col("v")).alias("exact"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-    )
-
-    per_metric = W.partitionBy("metric")
-    before = per_metric.orderBy("cell_lo", "cell_hi").rowsBetween(W.unboundedPreceding, -1)
-    cells = (
-        counted.groupBy("metric", "part", "cell")
-        .agg(F.sum("n").alias("cell_n"), F.min("lo").alias("cell_lo"), F.max("hi").alias("cell_hi"))
-        .withColumns(
-            {
-                "start": F.coalesce(F.sum("cell_n").over(before), F.lit(0)),
-                "total": F.sum("cell_n").over(per_metric),
-            }
-        )
-    )
-    wanted = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)]))
-    rank = F.col("w.p") * (F.col("total") - 1)
-    hits = (
-        cells.select("*", wanted.alias("w"))
-        .select(
-            "metric", "part", "cell", "start", "cell_n", F.col("w.i").alias("i"),
-            (rank - F.floor(rank)).alias("share"),
-            F.explode(
-                F.array(
-                    F.struct(F.lit(0).alias("side"), F.floor(rank).alias("at")),
-                    F.struct(F.lit(1).alias("side"), F.ceil(rank).alias("at")),
-                )
-            ).alias("t"),
-        )
-        .select("metric", "part", "cell", "start", "cell_n", "i", "share", "t.side", "t.at")
-        .filter("at >= start AND at < start + cell_n")
-        .drop("cell_n")
-    )
-    # At most two hits for each metric and probability, so the broadcast is of fixed size.
-    run = W.partitionBy("metric", "i", "side").orderBy("lo").rowsBetween(W.unboundedPreceding, 0)
-    found = (
-        counted.join(F.broadcast(hits), ["metric", "part", "cell"])
-        .withColumn("end", F.col("start") + F.sum("n").over(run))
-        .filter("at >= end - n AND at < end")
-        .withColumn(
-            "value",
-            F.when(F.col("exact").isNotNull(), F.col("exact"))
-            .when(F.col("at") == F.col("end") - F.col("n"), F.col("lo"))
-            .when(F.col("at") == F.col("end") - 1, F.col("hi"))
-            .otherwise(F.raise_error(F.lit("quantile outside its bracket")).cast("double")),
-        )
-    )
-    low, high = (F.max(F.when(F.col("side") == s, F.col("value"))) for s in (0, 1))
-    per_prob = found.groupBy("metric", "i").agg(
-        F.when((F.max("share") == 0) | (low == high), low).otherwise(low + (high - low) * F.max("share")).alias("q")
-    )
-    return per_prob.agg(
+    around = [p for q in probs for p in (max(0.0, q - slack), min(1.0, q + slack))]
+    row = base.agg(
         *[
-            F.array(
-                *[
-                    F.max(F.when((F.col("metric") == c) & (F.col("i") == i), F.col("q")))
-                    for i in range(len(probs))
-                ]
-            ).alias(c)
-            for c in columns
+            F.struct(F.percentile_approx(c, around, accuracy).alias("e"), F.min(c).alias("lo"), F.max(c).alias("hi"), F.count(c).alias("n")).alias(c)
+            for c in base.columns
         ]
-    )
-
-
-def _cell(n: int) -> list[Column]:
-    """The cell of value `v`: `part` is the bracket or the gap, `cell` the place in the bracket
-    (-1 in a gap). Cells are disjoint intervals in the order of the values."""
-    v, e = F.col("v"), F.col("e")
-    part = F.lit(n)
-    cell = F.lit(-1)
-    for i in reversed(range(n)):
-        lo, hi = e[2 * i], e[2 * i + 1]
-        width = F.when(hi > lo, hi - lo).otherwise(F.lit(1.0))
-        inside = (v >= lo) & (v <= hi)
-        place = F.least(F.floor((v - lo) / width * CELLS), F.lit(CELLS - 1)).cast("int")
-        part = F.when(v <= hi, F.lit(i)).otherwise(part)
-        cell = F.when(inside, place).when(v < lo, F.lit(-1)).otherwise(cell)
-    return [part.alias("part"), cell.alias("cell")]
+    ).first()
+    out = {}
+    for i, own in enumerate(row):
+        for j in range(len(probs)) if own["n"] else []:
+            lo = own["lo"] if around[2 * j] <= 0 else own["e"][2 * j]
+            hi = own["hi"] if around[2 * j + 1] >= 1 else own["e"][2 * j + 1]
+            out[i, j] = (lo, hi)
+    return out, [own["n"] for own in row]
+
+
+def _counted(base: DataFrame, brackets: Brackets) -> dict[tuple[int, int], tuple]:
+    """Rows below each bracket, at its lower end, at its upper end if that is another value, and between them; the values beside it."""
+    if not brackets:
+        return {}
+    aggregates = []
+    for (i, _), (lo, hi) in brackets.items():
+        c = F.col(f"c{i}")
+        upper = F.count_if(c == hi) if hi > lo else F.lit(0)
+        aggregates += [F.count_if(c < lo), F.count_if(c == lo), upper, F.count_if((c > lo) & (c < hi))]
+        aggregates += [F.max(F.when(c < lo, c)), F.min(F.when(c > hi, c))]
+    row = base.agg(*[a.alias(f"n{k}") for k, a in enumerate(aggregates)]).first()
+    return {slot: tuple(row[6 * k : 6 * k + 6]) for k, slot in enumerate(brackets)}
+
+
+def cells_of(counted: DataFrame, cells: int = CELLS) -> DataFrame:
+    """`counted` (slot, v, n) with `cell`: the values of each slot in order, cut into about `cells` cells of equally many."""
+    shares = [k / cells for k in range(1, cells)]
+    edges = counted.groupBy("slot").agg(F.array_distinct(F.percentile_approx("v", shares, ACCURACY)).alias("edges"))
+    below = F.size(F.filter("edges", lambda e: e < F.col("v")))
+    return counted.join(F.broadcast(edges), "slot").withColumn("cell", below).drop("edges")
+
+
+def _inner_values(base: DataFrame, brackets: Brackets, wanted: dict[tuple[int, int], list[int]]) -> dict[tuple, float]:
+    """The values with the `wanted` ranks (from 0) among those inside each bracket, by slot and rank."""
+    slots = list(brackets)
+    cells = []
+    for k, slot in enumerate(slots):
+        c, (lo, hi) = F.col(f"c{slot[0]}"), brackets[slot]
+        cells.append(F.when((c > lo) & (c < hi), F.struct(F.lit(k).alias("slot"), c.alias("v"))))
+    inside = base.select(F.array_compact(F.array(*cells)).alias("x")).where(F.size("x") > 0).select(F.inline("x"))
+    counted = materialize(inside.groupBy("slot", "v").agg(F.count(F.lit(1)).alias("n")), "bracket-values")
+    placed = materialize(cells_of(counted), "bracket-cells")
+    sums: dict[int, list[tuple[int, int]]] = {}
+    for r in placed.groupBy("slot", "cell").agg(F.sum("n").alias("n")).collect():  # at most CELLS for each slot
+        sums.setdefault(r["slot"], []).append((r["cell"], r["n"]))
+    hits = []
+    for k, slot in enumerate(slots):
+        start = 0
+        for cell, n in sorted(sums[k]):
+            hits += [(k, cell, rank, rank - start) for rank in wanted[slot] if start <= rank < start + n]
+            start += n
+    spark = base.sparkSession
+    held = F.broadcast(spark.createDataFrame(hits, "slot int, cell int, rank long, at long"))  # two for each slot
+    end = F.sum("n").over(W.partitionBy("slot", "rank").orderBy("v").rowsBetween(W.unboundedPreceding, 0))
+    ordered = placed.join(held, ["slot", "cell"]).withColumn("end", end)
+    rows = ordered.where("at < end AND at >= end - n").collect()
+    return {(slots[r["slot"]], r["rank"]): r["v"] for r in rows}
 
 
 def grouped_median(

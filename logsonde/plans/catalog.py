@@ -404,28 +404,40 @@ def _scores(spark: SparkSession, model: str, scores: dict[str, float | None]) ->
     return spark.createDataFrame([(model, *scores.values())], schema)
 
 
-def _event_model(label: str) -> Callable[[DataFrame], DataFrame]:
-    def run(t: DataFrame) -> DataFrame:
-        data = predict.event_data(predict.prepare(t))
-        try:
-            return _scores(t.sparkSession, label, predict.classify(data.train, data.test, label)[1])
-        finally:
-            data.release()
+def _event_scores(label: str, scores: Callable[[predict.Fitted, str], dict]) -> Callable[[DataFrame], DataFrame]:
+    return lambda t: _scores(t.sparkSession, label, scores(predict.event_models(predict.prepare(t)), label))
 
-    return run
 
+_add("prd_latency", _event_scores("LatencyMs", predict.value_scores))
+_add("prd_failure", _event_scores("is_failure", predict.class_scores))
+_add("prd_anomaly", _event_scores("is_anomaly_target", predict.class_scores))
 
-@_on_telemetry("prd_latency")
-def _latency(t: DataFrame) -> DataFrame:
-    data = predict.event_data(predict.prepare(t))
-    try:
-        return _scores(t.sparkSession, "LatencyMs", predict.regress(data.train, data.test)[1])
-    finally:
-        data.release()
 
+@_on_telemetry("prd_checks")
+def _model_checks(t: DataFrame) -> DataFrame:
+    """Every model with its rows, and whether the gradient of its objective is zero: it is at its optimum."""
+    prepared = predict.prepare(t)
+    sequences = predict.sequence_models(prepared, "CorrelationId")[1]
+    rows = predict.event_models(prepared).checks() + (sequences.checks() if sequences else [])
+    return t.sparkSession.createDataFrame(rows, "model string, train_rows long, test_rows long, gradient_is_zero boolean")
 
-_add("prd_failure", _event_model("is_failure"))
-_add("prd_anomaly", _event_model("is_anomaly_target"))
+
+def _small(t: DataFrame) -> DataFrame:
+    """The whole prediction with one feature a model, whose fits SQL can follow."""
+    return predict.predict(t, features=["CpuUsage"], sequence_columns=["LatencyMs_max"])
+
+
+@_on_telemetry("prd_small_scores")
+def _small_scores(t: DataFrame) -> DataFrame:
+    r = _small(t)
+    classes = ("classification_failure", "classification_anomaly", "sequence_tx_failure")
+    named = {f"{c}_{k}": F.col(c)[k] for c in classes for k in ("precision", "recall", "f1")}
+    named |= {k: F.col("regression_latency")[k] for k in ("mae", "rmse", "r2", "baseline_mae", "baseline_rmse", "mae_improvement_pct")}
+    return r.select(*[c.alias(n) for n, c in named.items()], F.col("sequence_tx_failure.n_transactions").alias("sequences"))
+
+
+_add("prd_small_grades", lambda t: predict.graded(_small(t)))
+_add("prd_small_advice", lambda t: predict.advice(_small(t)))
 _add("prd_baseline", lambda t: predict.baseline(t, t))
 _add(
     "prd_seq_cap",
@@ -437,12 +449,14 @@ _add(
     lambda t: predict.sequence_prefix(t).select("CorrelationId", "position", "EventSeq"),
 )
 _add("prd_seq_features", predict.sequence_features)
-_add(
-    "prd_sequence",
-    lambda t: _scores(
-        t.sparkSession, "y_tx", predict.sequence_model(predict.prepare(t), "CorrelationId")[1]
-    ),
-)
+
+
+@_on_telemetry("prd_sequence")
+def _sequence(t: DataFrame) -> DataFrame:
+    model = predict.sequence_models(predict.prepare(t), "CorrelationId")[1]
+    return _scores(t.sparkSession, "y_tx", predict.class_scores(model, "y_tx"))
+
+
 _add(
     "prd_grade",
     lambda t: failures.confusions(failures.score(t)).select(

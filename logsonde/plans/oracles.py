@@ -620,6 +620,76 @@ ids AS (SELECT DISTINCT CorrelationId FROM t WHERE CorrelationId IS NOT NULL),
 chosen AS (SELECT CorrelationId FROM ids ORDER BY {_hash("CorrelationId")} LIMIT 500)
 SELECT CorrelationId, EventSeq FROM t WHERE CorrelationId IN (SELECT CorrelationId FROM chosen)"""
 
+# -- the whole prediction with one feature a model -------------------------------------------
+
+
+def _newton(name: str, rows: str, label: str, steps: int = 14) -> str:
+    """CTEs of the balanced logistic regression of `label` on x over training rows: {name}{steps} has its intercept and slope."""
+    out = f"""{name}w AS MATERIALIZED (SELECT x, {label} AS y, CASE WHEN {label} = 1 THEN n / (2.0 * p) ELSE n / (2.0 * (n - p)) END AS w
+  FROM {rows}, (SELECT count(*)::DOUBLE AS n, sum({label})::DOUBLE AS p FROM {rows} WHERE NOT is_test) WHERE NOT is_test),
+{name}0 AS (SELECT 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1)"""
+    for i in range(steps):
+        out += f""",
+{name}s{i} AS MATERIALIZED (SELECT any_value(b0) AS b0, any_value(b1) AS b1, sum(w * (q - y)) AS g0, sum(w * (q - y) * x) + any_value(b1) AS g1,
+  sum(w * q * (1 - q)) AS h00, sum(w * q * (1 - q) * x) AS h01, sum(w * q * (1 - q) * x * x) + 1 AS h11
+  FROM (SELECT r.*, s.*, 1 / (1 + exp(-(b0 + b1 * x))) AS q FROM {name}w r, {name}{i} s)),
+{name}{i + 1} AS MATERIALIZED (SELECT b0 - (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01) AS b0,
+  b1 - (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01) AS b1 FROM {name}s{i})"""
+    return out + f""",
+{name} AS (SELECT tp, fp, fn, CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END AS p, CASE WHEN tp + fn = 0 THEN 0 ELSE tp / (tp + fn) END AS r
+  FROM (SELECT count(*) FILTER (b0 + b1 * x > 0 AND {label} = 1)::DOUBLE AS tp, count(*) FILTER (b0 + b1 * x > 0 AND {label} = 0)::DOUBLE AS fp,
+    count(*) FILTER (b0 + b1 * x <= 0 AND {label} = 1)::DOUBLE AS fn FROM {rows}, {name}{steps} WHERE is_test)),
+{name}f AS (SELECT p, r, CASE WHEN p + r = 0 THEN 0 ELSE 2 * p * r / (p + r) END AS f FROM {name})"""
+
+
+_SMALL = cte(
+    _PREFIX,
+    f"""e AS (SELECT CpuUsage::DOUBLE AS cpu, LatencyMs::DOUBLE AS lat, coalesce({_FAILED}, false)::INT AS is_failure,
+  coalesce({_ODD}, false)::INT AS is_anomaly, {_hash("coalesce(CorrelationId, '__na__')")} < 0.2e0 * 4503599627370496 AS is_test FROM t),
+em AS (SELECT e.*, coalesce(cpu, md) - md AS x FROM e, (SELECT quantile_cont(cpu, 0.5) AS md FROM e WHERE NOT is_test))""",
+    f"""sf AS (SELECT CorrelationId, max(LatencyMs)::DOUBLE AS lat FROM px GROUP BY 1),
+sy AS (SELECT CorrelationId, max(({_FAILED} OR {_ODD})::INT) AS y FROM t GROUP BY 1),
+sh AS (SELECT lat, y, {_hash("CorrelationId")} AS h FROM sf JOIN sy USING (CorrelationId)),
+sp AS (SELECT lat, y, h <= cut AS is_test FROM sh JOIN (SELECT y, quantile_cont(h, 0.2) AS cut FROM sh GROUP BY y) USING (y)),
+sm AS (SELECT y, is_test, coalesce(lat, md) - md AS x FROM sp, (SELECT quantile_cont(lat, 0.5) AS md FROM sp WHERE NOT is_test))""",
+    _newton("nf", "em", "is_failure"),
+    _newton("na", "em", "is_anomaly"),
+    _newton("ns", "sm", "y"),
+    """line AS (SELECT avg(lat) AS my, avg(x) AS mx, sum((x - ex) * (lat - ey)) / (sum((x - ex) * (x - ex)) + 1) AS slope, quantile_cont(lat, 0.5) AS md
+  FROM em, (SELECT avg(x) AS ex, avg(lat) AS ey FROM em WHERE NOT is_test AND lat IS NOT NULL) WHERE NOT is_test AND lat IS NOT NULL),
+err AS (SELECT lat, lat - (my + slope * (x - mx)) AS d, lat - md AS b FROM em, line WHERE is_test AND lat IS NOT NULL),
+reg AS (SELECT avg(abs(d)) AS mae, sqrt(avg(d * d)) AS rmse, 1 - sum(d * d) / (var_pop(lat) * count(lat)) AS r2,
+  avg(abs(b)) AS bmae, sqrt(avg(b * b)) AS brmse FROM err)""",
+)
+_IMPROVED = "(bmae - mae) / bmae * 100"
+ORACLES["prd_small_scores"] = f"""{_SMALL}
+SELECT {", ".join(f'{r6(f"{m}.{c}", f"{n}_{k}")}' for m, n in (("nf", "classification_failure"), ("na", "classification_anomaly"), ("ns", "sequence_tx_failure"))
+                  for c, k in (("p", "precision"), ("r", "recall"), ("f", "f1")))},
+  {r6("mae", "mae")}, {r6("rmse", "rmse")}, {r6("r2", "r2")}, {r6("bmae", "baseline_mae")}, {r6("brmse", "baseline_rmse")},
+  {r6(_IMPROVED, "mae_improvement_pct")}, (SELECT count(*) FROM sm) AS sequences
+FROM nff nf, naf na, nsf ns, reg"""
+_F1 = "CASE WHEN f >= 0.9 THEN 'very good' WHEN f >= 0.75 THEN 'good' WHEN f >= 0.6 THEN 'moderate' ELSE 'weak' END"
+ORACLES["prd_small_grades"] = f"""{_SMALL}
+SELECT model, {r6("f", "score")}, {_F1} AS grade FROM (SELECT 'classification_failure' AS model, f FROM nff
+  UNION ALL SELECT 'classification_anomaly', f FROM naf UNION ALL SELECT 'sequence_tx_failure', f FROM nsf)
+UNION ALL SELECT 'regression_latency', {r6("r2", "score")},
+  CASE WHEN r2 >= 0.7 THEN 'very good' WHEN r2 >= 0.5 THEN 'good' WHEN r2 >= 0.3 THEN 'moderate' ELSE 'weak' END FROM reg"""
+ORACLES["prd_small_advice"] = f"""{_SMALL},
+said AS (SELECT unnest(list_filter([
+  CASE WHEN least(nf.r, na.r) < 0.9 THEN 'More than a tenth of the incidents was not predicted: a lower decision threshold finds more' END,
+  CASE WHEN least(nf.p, na.p) < 0.85 THEN 'More than one alarm in seven was false: a higher decision threshold has fewer' END,
+  CASE WHEN r2 < 0.3 OR {_IMPROVED} < 5
+    THEN 'The latency model adds little to the median: the columns hold too little about latency, or on another scale' END,
+  CASE WHEN ns.f < 0.7 OR ns.r < 0.8
+    THEN 'The first events of a sequence say too little about its end: let the model see more of them' END
+  ], lambda x: x IS NOT NULL)) AS line FROM nff nf, naf na, nsf ns, reg)
+SELECT row_number() OVER () - 1 AS position, line FROM said"""
+ORACLES["prd_checks"] = f"""{_SMALL}
+SELECT model, n AS train_rows, m AS test_rows, true AS gradient_is_zero
+FROM (SELECT count(*) FILTER (NOT is_test) AS n, count(*) FILTER (is_test) AS m FROM em),
+  (VALUES ('is_failure'), ('is_anomaly_target'), ('LatencyMs')) x(model)
+UNION ALL SELECT 'y_tx', count(*) FILTER (NOT is_test), count(*) FILTER (is_test), true FROM sm"""
+
 # -- properties of models -------------------------------------------------------------------
 
 ORACLES["clu_checks"] = f"""{cte()},
