@@ -64,7 +64,10 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], acc
             return None
         rank = probs[j] * (totals[i] - 1)
         low, high = (values[i, j, f(rank)] for f in (math.floor, math.ceil))
-        return low if low == high else low + (high - low) * (rank - math.floor(rank))
+        share = rank - math.floor(rank)
+        if low == high:
+            return low
+        return low + (high - low) * share if math.isfinite(high - low) else low * (1 - share) + high * share
 
     row = tuple([quantile(i, j) for j in range(len(probs))] for i in range(len(columns)))
     return df.sparkSession.createDataFrame([row], ", ".join(f"`{c}` array<double>" for c in columns))

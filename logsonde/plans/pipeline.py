@@ -82,7 +82,7 @@ class Pipeline:
     def trends(self) -> dict[str, DataFrame]:
         prepared = trends.prepare(self.events, self.trend_settings, self.trend_system)
         buckets = materialize(trends.bucketize(prepared, self.trend_settings), "trend-buckets")
-        found = trends.detect(buckets, self.trend_settings)
+        found = materialize(trends.detect(buckets, self.trend_settings), "trends")
         return {
             "buckets": found,
             "summary": trends.summary(prepared, found),
