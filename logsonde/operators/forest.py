@@ -2,10 +2,14 @@
 
 Training data are of fixed size: 256 rows for each of 100 trees, taken by hash. Each tree grows in
 its own task. The trees are small arrays sent to the tasks, which score Arrow batches with numpy.
+
+All draws are numbers that any engine can compute: the rows of a tree are those with the lowest values of a linear function, one for each tree, of
+their key's md5 modulo a prime, and a node's feature and cut come from the md5 of its tree, number and seed.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -21,7 +25,9 @@ TREES = 100
 SAMPLE = 256
 SEED = 42
 EULER_GAMMA = 0.5772156649
-HASH_RANGE = 1 << 40
+PRIME = 2**31 - 1
+DRAWN = 1 << 52  # an md5 draw: the first 13 hex digits
+SCORE_PLACES = 12  # so that equal paths give equal scores in whatever order they are summed
 
 NODE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, path double"
 
@@ -33,26 +39,30 @@ def average_path(n: np.ndarray) -> np.ndarray:
     return np.where(n > 2, many, np.where(n == 2, 1.0, 0.0))
 
 
-def _hash(*columns: Column) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(HASH_RANGE))
+def tree_numbers(trees: int, seed: int) -> list[tuple[int, int]]:
+    """Factor and addend of each tree's function of the keys."""
+    return [(pow(48271, t + seed, PRIME), pow(69621, t + seed, PRIME)) for t in range(1, trees + 1)]
+
+
+def draw(*values: object) -> float:
+    """A number from 0 to 1 (excluded) by the md5 of the values."""
+    return int(hashlib.md5("/".join(map(str, values)).encode()).hexdigest()[:13], 16) / DRAWN
 
 
 def tree_samples(df: DataFrame, features: Sequence[str], key: str, trees: int, sample: int, seed: int) -> DataFrame:
     """(tree, features): `sample` rows without replacement for each tree, the same on every run.
 
-    Trees draw independently: each takes the rows with the lowest hashes of (row, tree). A row first drops the trees
-    for which its hash is above one and a half times the share wanted, so the shuffle holds about
+    Each tree takes the rows with its lowest values. A row first drops the trees for which its value is
+    above one and a half times the share wanted, so the shuffle holds about
     1.5 * trees * sample rows whatever the size of the table.
     """
     share = min(1.0, (1.5 * sample + 64) / max(1, df.count()))
     cols = [F.col(c).cast("double").alias(c) for c in features]
-    drawn = F.filter(
-        F.transform(
-            F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(t.alias("tree"), _hash(F.col(key), t, F.lit(seed)).alias("h"))
-        ),
-        lambda x: x["h"] < int(share * HASH_RANGE),
-    )
-    pool = df.select(key, *cols, F.inline(drawn))
+    digits = F.conv(F.substring(F.md5(F.concat_ws("/", F.col(key).cast("string"), F.lit(str(seed)))), 1, 13), 16, 10)
+    numbers = F.array(*[F.struct(F.lit(t).alias("tree"), F.lit(a).alias("a"), F.lit(b).alias("b")) for t, (a, b) in enumerate(tree_numbers(trees, seed))])
+    valued = F.transform(numbers, lambda n: F.struct(n["tree"].alias("tree"), F.pmod(n["a"].cast("long") * F.col("_k") + n["b"].cast("long"), F.lit(PRIME)).alias("h")))
+    keyed = df.select(key, *cols, F.pmod(digits.cast("long"), F.lit(PRIME)).alias("_k"))
+    pool = keyed.select(key, *features, F.inline(F.filter(valued, lambda x: x["h"] < int(share * PRIME) + 1)))
     lowest = F.row_number().over(W.partitionBy("tree").orderBy("h", key))
     return (
         pool.withColumn("r", lowest)
@@ -61,26 +71,28 @@ def tree_samples(df: DataFrame, features: Sequence[str], key: str, trees: int, s
     )
 
 
-def _grow(x: np.ndarray, rng: np.random.Generator, limit: int) -> list[tuple]:
-    """Nodes (feature, threshold, left, right, path length) of one tree, grown level by level."""
-    nodes: list[tuple] = []
-    pending = [(np.arange(len(x)), 0, None, None)]
+def _grow(x: np.ndarray, tree: int, seed: int, limit: int) -> list[list]:
+    """Nodes (feature, threshold, left, right, path length) of one tree. The children of node i are drawn as numbers 2 i and 2 i + 1."""
+    nodes: list[list] = []
+    pending = [(np.arange(len(x)), 0, 1, None, None)]
     while pending:
-        rows, depth, parent, side = pending.pop()
+        rows, depth, number, parent, side = pending.pop()
         me = len(nodes)
         if parent is not None:
             nodes[parent][side] = me
         values = x[rows]
-        spread = np.flatnonzero(values.max(axis=0) > values.min(axis=0)) if len(rows) > 1 else []
+        low, high = (values.min(axis=0), values.max(axis=0)) if len(rows) else (np.zeros(0), np.zeros(0))
+        spread = np.flatnonzero(high > low)
         if depth >= limit or len(spread) == 0:
             nodes.append([-1, 0.0, me, me, depth + float(average_path(len(rows)))])
             continue
-        f = int(rng.choice(spread))
-        cut = float(rng.uniform(values[:, f].min(), values[:, f].max()))
+        f = int(spread[int(draw(tree, number, seed, "feature") * len(spread))])
+        cut = low[f] + draw(tree, number, seed, "cut") * (high[f] - low[f])
+        cut = float(cut if cut < high[f] else low[f])
         goes_left = values[:, f] <= cut
         nodes.append([f, cut, -1, -1, 0.0])
-        pending.append((rows[~goes_left], depth + 1, me, 3))
-        pending.append((rows[goes_left], depth + 1, me, 2))
+        pending.append((rows[~goes_left], depth + 1, 2 * number + 1, me, 3))
+        pending.append((rows[goes_left], depth + 1, 2 * number, me, 2))
     return nodes
 
 
@@ -109,7 +121,7 @@ class Forest:
     def score(self, x: np.ndarray) -> np.ndarray:
         """Lower is more anomalous, from -1 to 0."""
         c = float(average_path(self.psi)) or 1.0
-        return -np.power(2.0, -self.mean_path(x) / c)
+        return np.round(-np.power(2.0, -self.mean_path(x) / c), SCORE_PLACES)
 
 
 def fit(
@@ -129,7 +141,7 @@ def fit(
         tree = int(pdf["tree"].iloc[0])
         x = pdf.sort_values("row")[names].to_numpy(dtype=float)
         limit = max(1, math.ceil(math.log2(max(len(x), 2))))
-        nodes = _grow(x, np.random.default_rng([seed, tree]), limit)
+        nodes = _grow(x, tree, seed, limit)
         out = pd.DataFrame(nodes, columns=["feature", "threshold", "left", "right", "path"])
         out.insert(0, "node", np.arange(len(nodes), dtype=np.int32))
         out.insert(0, "tree", np.int32(tree))

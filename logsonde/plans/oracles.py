@@ -1,12 +1,13 @@
 """The registered queries as SQL for DuckDB, written independently of the Spark code.
 
-Only the telemetry view is shared. Models (forest, k-means, regressions) have no SQL themselves; the `_checks`
-queries compare their properties, and tests check the rest.
+Only the telemetry view is shared, and numbers that fix the forest's draws. The forest is grown here too, level by level. K-means and the regressions are
+followed for fixed starts and single features (`clu_pass_*`, `prd_small_*`); the `_checks` queries compare properties of the full fits.
 """
 
 from __future__ import annotations
 
 from logsonde.operators import anomalies, rca
+from logsonde.operators.forest import DRAWN, EULER_GAMMA, PRIME, SAMPLE, SEED, TREES, tree_numbers
 from logsonde.schema import DIAGNOSIS_FLAGS, DIAGNOSIS_METRICS, MODEL_FEATURES, REASON_CODES
 from logsonde.plans.telemetry import telemetry_cte
 
@@ -690,6 +691,51 @@ FROM (SELECT count(*) FILTER (NOT is_test) AS n, count(*) FILTER (is_test) AS m
   (VALUES ('is_failure'), ('is_anomaly_target'), ('LatencyMs')) x(model)
 UNION ALL SELECT 'y_tx', count(*) FILTER (NOT is_test), count(*) FILTER (is_test), true FROM sm"""
 
+# -- the isolation forest -------------------------------------------------------------------
+
+
+def _forest(trees: int = TREES, sample: int = SAMPLE, seed: int = SEED) -> str:
+    """CTEs that draw the samples, grow all trees level by level and follow every event down them; `scored` has the scores."""
+    depth, d = max(1, (sample - 1).bit_length()), range(1, len(MODEL_FEATURES) + 1)
+    drawn = lambda text: f"cast(cast('0x' || substr(md5({text}), 1, 13) AS BIGINT) AS DOUBLE)"
+    path = f"""CASE WHEN rows > 2 THEN 2 * (ln(rows - 1) + {EULER_GAMMA}) - 2 * (rows - 1) / rows WHEN rows = 2 THEN 1 ELSE 0 END"""
+    z = [f"(coalesce({c}, avg({c}) OVER ()) - avg({c}) OVER ()) / sd{i}" for i, c in zip(d, MODEL_FEATURES, strict=True)]
+    sd = ", ".join(
+        f"coalesce(nullif(stddev_pop({c}) * sqrt(count({c}) / count(*)), 0), 1) AS sd{i}" for i, c in zip(d, MODEL_FEATURES, strict=True)
+    )
+    numbers = ", ".join(f"({t}, {a}::BIGINT, {b}::BIGINT)" for t, (a, b) in enumerate(tree_numbers(trees, seed)))
+    out = f"""fx AS MATERIALIZED (SELECT EventSeq, [{", ".join(z)}] AS x,
+  cast('0x' || substr(md5(EventSeq::VARCHAR || '/{seed}'), 1, 13) AS BIGINT) % {PRIME} AS k FROM t, (SELECT {sd} FROM t)),
+r0 AS MATERIALIZED (SELECT tree, 1 AS node, x FROM fx, (VALUES {numbers}) n(tree, a, b)
+  QUALIFY row_number() OVER (PARTITION BY tree ORDER BY (a * k + b) % {PRIME}, EventSeq) <= {sample}),
+e0 AS (SELECT EventSeq, x, tree, 1 AS node FROM fx, (SELECT DISTINCT tree FROM r0))"""
+    for i in range(depth + 1):
+        spread = "len(s) > 0" if i < depth else "false"
+        out += f""",
+m{i} AS MATERIALIZED (SELECT tree, node, rows, low, high, list_filter({list(d)}, lambda i: high[i] > low[i]) AS s FROM (SELECT tree, node, count(*)::DOUBLE AS rows,
+  [{", ".join(f"min(x[{j}])" for j in d)}] AS low, [{", ".join(f"max(x[{j}])" for j in d)}] AS high FROM r{i} GROUP BY tree, node)),
+n{i} AS MATERIALIZED (SELECT tree, node, rows, f, CASE WHEN c < high[f] THEN c ELSE low[f] END AS cut, {i} + {path} AS path FROM (
+  SELECT *, low[f] + {drawn(f"concat_ws('/', tree, node, {seed}, 'cut')")} / {DRAWN} * (high[f] - low[f]) AS c FROM (
+    SELECT *, CASE WHEN {spread} THEN s[1 + floor({drawn(f"concat_ws('/', tree, node, {seed}, 'feature')")} / {DRAWN} * len(s))::INT] END AS f FROM m{i}))),
+h{i} AS (SELECT e.EventSeq, e.tree, n.path FROM e{i} e JOIN n{i} n USING (tree, node) WHERE f IS NULL),
+r{i + 1} AS MATERIALIZED (SELECT tree, 2 * node + (x[f] > cut)::INT AS node, x FROM r{i} JOIN n{i} USING (tree, node) WHERE f IS NOT NULL),
+e{i + 1} AS MATERIALIZED (SELECT EventSeq, x, tree, 2 * node + (x[f] > cut)::INT AS node FROM e{i} JOIN n{i} USING (tree, node) WHERE f IS NOT NULL)"""
+    unit = f"(SELECT {path} FROM (SELECT max(n)::DOUBLE AS rows FROM (SELECT count(*) AS n FROM r0 GROUP BY tree)))"
+    return out + f""",
+scored AS MATERIALIZED (SELECT EventSeq, round(-pow(2, -avg(path) / {unit}), 12) AS score
+  FROM ({" UNION ALL ".join(f"SELECT * FROM h{i}" for i in range(depth + 1))}) GROUP BY EventSeq),
+flagged AS (SELECT t.EventSeq, SourceSystem, IsAnomaly, (score < cut)::BIGINT AS IF_Anomaly, score AS IF_AnomalyScore FROM t JOIN scored USING (EventSeq),
+  (SELECT l[1 + floor(r)::INT] + (l[1 + ceil(r)::INT] - l[1 + floor(r)::INT]) * (r - floor(r)) AS cut FROM (SELECT l, share * (len(l) - 1) AS r FROM
+    (SELECT list(score ORDER BY score) AS l FROM scored),
+    (SELECT greatest(1e-5, least(0.5, avg((coalesce(EventCode BETWEEN 500 AND 599, false))::INT) / 10)) AS share FROM t))))"""
+
+
+_FLAGGED = cte(_forest())
+ORACLES["ano_iforest"] = f"""{_FLAGGED}
+SELECT EventSeq, SourceSystem, IsAnomaly::BIGINT AS IsAnomaly, IF_Anomaly, {r6("IF_AnomalyScore", "IF_AnomalyScore")} FROM flagged"""
+ORACLES["ano_scores"] = f"""{_FLAGGED}, q AS (SELECT {_confusion("IF_Anomaly = 1", "coalesce(IsAnomaly = 1, false)")} FROM flagged)
+SELECT 'IF_Anomaly' AS prediction, *, {_RATIOS} FROM q"""
+
 # -- properties of models -------------------------------------------------------------------
 
 ORACLES["clu_checks"] = f"""{cte()},
