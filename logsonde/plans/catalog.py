@@ -50,7 +50,7 @@ def plain(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = F.round(c.cast("double"), 6)
+            c = F.round(c.cast("double"), 6) + F.lit(0.0)  # no negative zero
         elif isinstance(f.dataType, T.IntegralType):
             c = c.cast("bigint")
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):

@@ -19,7 +19,7 @@ def ts(column: str, name: str) -> str:
 
 
 def r6(expr: str, name: str) -> str:
-    return f"round(cast({expr} AS DOUBLE), 6) AS {name}"
+    return f"round(cast({expr} AS DOUBLE), 6) + 0e0 AS {name}"
 
 
 def b(expr: str, name: str) -> str:
