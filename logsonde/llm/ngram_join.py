@@ -11,6 +11,9 @@ depth, sets that agree almost everywhere, is one candidate group without compari
 repeated until a pair at the threshold is missed with a probability below 1 - `recall`, also where all its nodes are split to
 the greatest depth, and averaged over the agreement of the one sketch that all runs share.
 
+Runs go in two rounds. After the first, sets take over the smallest set that their buckets lead to as their root, and a bucket of a later
+run whose sets all have one root can bring nothing new: it is left out, whatever its size.
+
 What the sketches find are candidate groups only; inside each, all pairs are then compared exactly on the whole sets.
 """
 
@@ -30,7 +33,9 @@ THRESHOLD = 0.8
 PLACES = 96
 FIRST_DEPTH, DEEPER, GREATEST_DEPTH = 4, 2, 8
 BUCKET = 512  # sets compared by brute force; larger buckets are split
-BLOCK = 256  # texts of a candidate group compared at a time
+BLOCK = 256  # texts of a candidate group compared at a time,
+TEXT_SHINGLES = 1024  # fewer where they have more than so many shingles on average
+FIRST_RUNS = 1  # of the first round
 REMEMBERED_WORDS = 1 << 18
 
 U = np.uint64
@@ -136,11 +141,12 @@ def step(row: np.ndarray, path: np.ndarray, sketch: np.ndarray, second: float) -
 
 
 def ngram_links(docs: DataFrame, threshold: float = THRESHOLD, recall: float = 0.9995, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, text_hash, class_id, n_links, n_text_links, component_id, kept) for every row of `docs` (doc_id long, text).
+    """(doc_id, text_hash, class_id, n_links, n_text_links, component_id, kept, component) for every row of `docs` (doc_id long, text).
 
     `class_id` is the smallest doc_id with the same shingle set. Classes are linked if their sets' Jaccard similarity is at least
     `threshold`; `n_text_links` counts the linked classes, `n_links` the other rows that are linked or of the same class.
-    `component_id` is the smallest doc_id that links lead to; `kept` marks its row (and rows that repeat it entirely).
+    `component_id` is the smallest doc_id that links lead to; `kept` marks its row (and rows that repeat it entirely). Where a
+    doc_id repeats with other texts, components may have one smallest id; the numbers `component`, alike only in one run, tell them apart.
     A text of one to four words is one shingle; a null text, or one without words, links with nothing, nor does a row
     with a null doc_id. An empty table gives no rows; other columns are not read. Whole texts are used, of any length.
     """
@@ -149,23 +155,27 @@ def ngram_links(docs: DataFrame, threshold: float = THRESHOLD, recall: float = 0
     classes = (
         sets.where("size > 0 AND doc_id IS NOT NULL")
         .groupBy(*key)
-        .agg(F.min("doc_id").alias("node"), F.count("*").alias("weight"), F.first("sketch").alias("sketch"))
+        .agg(F.min(F.struct("doc_id", "text_hash")).alias("row"), F.count("*").alias("weight"), F.first("sketch").alias("sketch"))
     )
-    classes = materialize(classes, "shingle-classes")
-    roots = components(_candidates(classes, threshold, recall))
+    # Classes are numbered, as a doc_id may repeat with other texts; written once, the numbers stay.
+    numbered = classes.select(*key, "row.*", "weight", "sketch").withColumn("node", F.monotonically_increasing_id())
+    classes = materialize(numbered, "shingle-classes")
+    roots = _candidates(classes.select("node", "sketch"), threshold, recall)
     links = materialize(_verified(docs, classes, roots, threshold, shingle), "ngram-links")
     counted = links.groupBy("node").agg(F.sum("rows").alias("rows"), F.sum("texts").alias("texts"))
     linked = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    least = linked.join(classes.select("node", "doc_id"), "node").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     classed = (
-        classes.select(*key, "node", "weight")
+        classes.select(*key, "node", "doc_id", "weight")
         .join(counted, "node", "left")
-        .join(linked, "node", "left")
+        .join(linked.join(least, "root").select("node", "root", "component_id"), "node", "left")
         .select(
             *key,
-            "node",
+            F.col("doc_id").alias("first_id"),
             (F.coalesce("rows", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
             F.coalesce("texts", F.lit(0).cast("long")).alias("n_text_links"),
-            F.coalesce("root", "node").alias("component_id"),
+            F.coalesce("component_id", "doc_id").alias("component_id"),
+            F.coalesce("root", "node").alias("component"),
         )
     )
     able = F.when(F.col("doc_id").isNotNull(), F.col("size"))
@@ -176,11 +186,12 @@ def ngram_links(docs: DataFrame, threshold: float = THRESHOLD, recall: float = 0
         .select(
             "doc_id",
             "text_hash",
-            F.coalesce("node", "doc_id").alias("class_id"),
+            F.coalesce("first_id", "doc_id").alias("class_id"),
             F.coalesce("n_links", zero).alias("n_links"),
             F.coalesce("n_text_links", zero).alias("n_text_links"),
             F.coalesce("component_id", "doc_id").alias("component_id"),
             F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).alias("kept"),
+            F.coalesce("component", "text_hash").alias("component"),
         )
     )
 
@@ -192,12 +203,12 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD, recall: float = 0.99
     """
     kept = ngram_links(docs, threshold, recall, shingle).where("kept AND doc_id IS NOT NULL")
     # One row for each id and text; an id that repeats with another text of the same component stays with one of them.
-    by_component = kept.groupBy("component_id", "doc_id").agg(F.min("text_hash").alias("__text_hash"))
-    keys = by_component.select(F.col("doc_id").alias("__doc_id"), "__text_hash")
+    by_component = kept.groupBy("component", "doc_id").agg(F.min("text_hash").alias("text_hash"))
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    hashed = docs.withColumn("__hash", F.xxhash64("text"))
-    with_id = hashed.join(keys, (F.col("doc_id") == F.col("__doc_id")) & (F.col("__hash") == F.col("__text_hash")), "left_semi")
-    return with_id.dropDuplicates(["doc_id", "__hash"]).select(*columns).unionByName(docs.where("doc_id IS NULL"))
+    whole = docs.select(F.struct(*columns).alias("row"), F.col("doc_id").alias("doc_id"), F.xxhash64("text").alias("text_hash"))
+    with_id = whole.join(by_component.select("doc_id", "text_hash"), ["doc_id", "text_hash"], "left_semi")
+    one = with_id.dropDuplicates(["doc_id", "text_hash"]).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    return one.unionByName(docs.where("doc_id IS NULL"))
 
 
 def _sets(docs: DataFrame, shingle: int) -> DataFrame:
@@ -226,19 +237,38 @@ def _sets(docs: DataFrame, shingle: int) -> DataFrame:
 
 
 def _candidates(classes: DataFrame, threshold: float, recall: float) -> DataFrame:
-    """Edges (a, b) whose components are the candidate groups."""
+    """(node, root): the candidate groups of `classes` (node, sketch), those of one node left out."""
     runs = runs_for(recall, threshold)
+    first = _edges(classes.withColumn("root", F.col("node")), range(min(FIRST_RUNS, runs)), threshold)
+    rooted = classes.join(_near_roots(first), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    more = _edges(materialize(rooted, "rooted-classes"), range(min(FIRST_RUNS, runs), runs), threshold)
+    return components(first.union(more))
+
+
+def _near_roots(edges: DataFrame, jumps: int = 2) -> DataFrame:
+    """(node, root): the smallest neighbour of each node, then that one's root, so often. Equal roots tell of one component; one component
+    may still have several."""
+    near = edges.where("a > b").groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
+    near = materialize(near, "near-roots")
+    for _ in range(jumps):
+        up = near.select(F.col("node").alias("root"), F.col("root").alias("up"))
+        near = materialize(near.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root")), "near-roots")
+    return near
+
+
+def _edges(rooted: DataFrame, runs: range, threshold: float) -> DataFrame:
+    """Edges (a, b) between candidates that the `runs` find, where `rooted` (node, sketch, root) does not know all of a bucket as one."""
     second = 1 / threshold - 1
 
     def roots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sketch = _matrix(batch["sketch"])
-            for run in range(runs):
+            for run in runs:
                 row = np.arange(len(batch))
                 path = np.full(len(batch), mixed(np.array([run + 1], U))[0])
                 for _ in range(FIRST_DEPTH):
                     row, path = step(row, path, sketch, second)
-                yield _unique(batch["node"].to_numpy()[row], path)
+                yield _unique(batch, row, path)
 
     def deeper(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -246,7 +276,7 @@ def _candidates(classes: DataFrame, threshold: float, recall: float) -> DataFram
             row, path = np.arange(len(batch)), batch["path"].to_numpy().astype(U)
             for _ in range(DEEPER):
                 row, path = step(row, path, sketch, 1.0)
-            yield _unique(batch["node"].to_numpy()[row], path)
+            yield _unique(batch, row, path)
 
     cutoff = cutoff_of(threshold)
 
@@ -262,21 +292,24 @@ def _candidates(classes: DataFrame, threshold: float, recall: float) -> DataFram
         if out:
             yield pd.DataFrame(np.concatenate(out), columns=["a", "b"])
 
-    sketched = classes.select("node", "sketch")
-    nodes = in_tasks(sketched, roots, "path long, node long")
+    sketched = rooted.select("node", "sketch", "root")
+    nodes = in_tasks(sketched, roots, "path long, node long, root long")
     edges = None
     for depth in range(FIRST_DEPTH, GREATEST_DEPTH + 1, DEEPER):
         nodes = materialize(nodes, f"paths-{depth}")
-        buckets = nodes.groupBy("path").agg(F.count("*").alias("n"), F.min("node").alias("least")).where("n > 1")
-        members = materialize(nodes.join(buckets, "path"), f"buckets-{depth}")
-        small = members.where(F.col("n") <= BUCKET).select("path", "node").join(sketched, "node")
+        buckets = nodes.groupBy("path").agg(
+            F.count("*").alias("n"), F.min("node").alias("least"), F.min("root").alias("low"), F.max("root").alias("high")
+        )
+        # All buckets are joined and written, so that as many rows come out as go in, whatever the buckets' sizes.
+        members = materialize(nodes.drop("root").join(buckets, "path"), f"buckets-{depth}").where("low < high")
+        small = members.where(F.col("n") <= BUCKET).select("path", "node").join(sketched.drop("root"), "node")
         bits = small.select("path", "node", "sketch").repartition("path").sortWithinPartitions("path", "node")
         found = in_tasks(bits, compare, "a long, b long")
         large = members.where(F.col("n") > BUCKET)
         if depth + DEEPER > GREATEST_DEPTH:
             found = found.union(large.select(F.col("node").alias("a"), F.col("least").alias("b")))
         else:
-            nodes = in_tasks(large.select("path", "node").join(sketched, "node"), deeper, "path long, node long")
+            nodes = in_tasks(large.select("path", "node").join(sketched, "node"), deeper, "path long, node long, root long")
         found = materialize(found.distinct(), f"candidates-{depth}")
         edges = found if edges is None else edges.union(found)
     return edges
@@ -286,9 +319,10 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(column), np.uint32).reshape(len(column), PLACES)
 
 
-def _unique(node: np.ndarray, path: np.ndarray) -> pd.DataFrame:
+def _unique(batch: pd.DataFrame, row: np.ndarray, path: np.ndarray) -> pd.DataFrame:
     """A node of the tree holds a set once, even if its parent sampled a place twice."""
-    return pd.DataFrame({"path": path.astype(np.int64), "node": node}).drop_duplicates()
+    node, root = (batch[c].to_numpy()[row] for c in ("node", "root"))
+    return pd.DataFrame({"path": path.astype(np.int64), "node": node, "root": root}).drop_duplicates()
 
 
 def _alike(run: dict[str, np.ndarray], cutoff: float) -> np.ndarray:
@@ -305,9 +339,11 @@ def _alike(run: dict[str, np.ndarray], cutoff: float) -> np.ndarray:
 
 def _verified(docs: DataFrame, classes: DataFrame, roots: DataFrame, threshold: float, shingle: int) -> DataFrame:
     """(node, rows, texts, root): exact links, counted and joined within the blocks of each candidate group."""
-    members = roots.join(classes.select("node", "weight", "f1", "f2"), "node")
-    texts = docs.select(F.col("doc_id").alias("node"), "text").join(members, "node")
-    counts = roots.groupBy("root").agg(F.count("*").alias("n"))
+    members = materialize(roots.join(classes.drop("sketch"), "node"), "candidate-members")
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    # One row for each class, however often it repeats.
+    texts = hashed.join(members.hint("merge"), ["doc_id", "text_hash"]).dropDuplicates(["node"]).drop("doc_id", "text_hash")
+    counts = members.groupBy("root").agg(F.greatest(F.count("*"), F.ceil(F.sum("size") / TEXT_SHINGLES)).alias("n"))
     dealt = dealt_in_blocks(texts, counts, ["root"], "node", BLOCK)
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -327,28 +363,22 @@ def _verified(docs: DataFrame, classes: DataFrame, roots: DataFrame, threshold:
 
 
 def _linked(run: dict[str, np.ndarray], shingles: Shingles, threshold: float) -> np.ndarray | None:
-    rows: dict[int, tuple[np.ndarray, int, int]] = {}
-    for i, node in enumerate(run["node"].tolist()):
-        if node in rows:
-            continue  # the row is repeated
-        own = shingles(run["text"][i])
-        if fingerprint(own) == (run["f1"][i], run["f2"][i]):  # else another text with this id
-            rows[node] = (own, int(run["weight"][i]), int(run["own_block"][i]))
-    node = np.array(sorted(rows), np.int64)
-    if len(node) < 2:
+    if len(run["node"]) < 2:
         return None
-    sets, weight, block = zip(*[rows[x] for x in node.tolist()], strict=True)
+    order = np.argsort(run["node"], kind="stable")
+    node, weight, block = (run[c][order].astype(np.int64) for c in ("node", "weight", "own_block"))
+    sets = tuple(shingles(run["text"][i]) for i in order)
     size = np.array([len(s) for s in sets], np.int64)
     common = _common(sets)
     linked = common / (size[:, None] + size[None, :] - common) >= threshold
     np.fill_diagonal(linked, False)
     if run["block_a"][0] != run["block_b"][0]:
-        linked &= np.array(block)[:, None] != np.array(block)[None, :]
+        linked &= block[:, None] != block[None, :]
     some = linked.any(1)
     if not some.any():
         return None
     root = node[local_roots(linked)]
-    return np.stack([node, linked @ np.array(weight, np.int64), linked.sum(1), root], axis=1)[some]
+    return np.stack([node, linked @ weight, linked.sum(1), root], axis=1)[some]
 
 
 def _common(sets: tuple[np.ndarray, ...]) -> np.ndarray:

@@ -99,7 +99,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For every document, its class of equal shingle sets, its links of similarity 0.8 or more and their component."""
-    return ngram_links(table(spark, sf_dir, "documents"), threshold=0.8, shingle=5).drop("text_hash")
+    return ngram_links(table(spark, sf_dir, "documents"), threshold=0.8, shingle=5).drop("text_hash", "component")
 
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
