@@ -153,6 +153,7 @@ def pack(
                 out = pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
                 out.insert(0, "part", part)
                 yield out
+        encoder.forget()
 
     made = in_tasks(docs.select("doc_id", "text"), cut, PIECES_WITH_IDS if with_ids else PIECES)
     pieces = materialize(made, "pieces")

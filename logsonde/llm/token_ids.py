@@ -19,6 +19,7 @@ PRE_TOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 #: Words, and pre-tokens, remembered by one worker; a full memory forgets all but those it met first, the frequent ones
 #: among them: this bounds its size, not its results.
 REMEMBERED = 1 << 19
+LONGEST = 100  # letters of a remembered word
 
 
 class Memory(dict):
@@ -28,7 +29,9 @@ class Memory(dict):
         self.make = make
 
     def __missing__(self, key: str) -> bytes:
-        value = self[key] = self.make(key)
+        value = self.make(key)
+        if len(key) <= LONGEST:
+            self[key] = value
         return value
 
     def bounded(self) -> None:
@@ -94,6 +97,11 @@ class TokenIds:
             return self.by_token[chunk[:-1]] + self.by_token[chunk[-1]]
         return b"".join(map(self.by_token.__getitem__, PRE_TOKEN.findall(chunk)))
 
+    def forget(self) -> None:
+        """Gives the memory of words back, so that a worker that goes on with other tasks does not hold it."""
+        self.by_chunk.clear()
+        self.by_token.clear()
+
     def encode(self, text: str | None) -> bytes:
         """Little-endian 32-bit ids of a text; a null text is empty."""
         if not text:
