@@ -15,13 +15,15 @@ from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from logsonde.llm.common import map_texts
-from logsonde.llm.spans import Span, found_columns, found_type, overlaps
+from logsonde.llm.common import map_texts, materialize
+from logsonde.llm.spans import Cover, Span, found_columns, found_type
 
 KINDS = ("email", "ip", "card", "phone")
 
 #: Documents (about) whose regions the field is trained on, drawn by a hash of doc_id.
 TRAINING_ROWS = 6_000
+TRAINING_REGIONS = 20_000
+REGION_LETTERS = 500
 SEGMENT_CHUNKS = 6
 MARGIN = 3.0  # how far a segment must score above the best way without it to be added
 
@@ -180,24 +182,40 @@ def train(examples: list[tuple[str, list[Span]]], passes: int = 5) -> dict[tuple
     return {k: w - total[k] / step for k, w in weights.items() if w or total[k]}
 
 
+def _cut(chunks: list[tuple[int, int]], letters: int = REGION_LETTERS) -> Iterator[list[tuple[int, int]]]:
+    """The chunks of a region in runs of at most so many letters, cut between chunks; a longer chunk is left out."""
+    held: list[tuple[int, int]] = []
+    for chunk in chunks:
+        if held and chunk[1] - held[0][0] > letters:
+            yield held
+            held = []
+        if chunk[1] - chunk[0] <= letters:
+            held.append(chunk)
+    if held:
+        yield held
+
+
 def fit_field(docs: DataFrame) -> dict[tuple[str, str], float]:
-    """The field's weights, from the base spans of about TRAINING_ROWS documents that hold a digit or an at sign.
+    """The field's weights: an averaged perceptron of whole segmentations, trained on the base spans of a sample of regions.
 
-    Of those, regions go to the driver, at most 500 characters each; the scan itself works on whole texts.
+    Two bounds, both drawn by hashes: the regions of about TRAINING_ROWS documents that hold a digit or an at sign, and of these about
+    TRAINING_REGIONS different ones, cut between chunks to at most REGION_LETTERS letters, go to the driver. The scan itself works on whole texts.
     """
-    able = docs.select("doc_id", "text").where(F.col("text").rlike("[0-9@]"))
-    n = able.count()
-    share = max(1, round(1_000_000 * min(1.0, TRAINING_ROWS / max(1, n))))
-    sample = able.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < share)
     schema = T.StructType([T.StructField("regions", T.ArrayType(T.StringType()))])
 
     def task():
         def cut(texts: list[str | None]) -> list[list]:
-            return [[[text[max(0, c[0][0] - 60) : c[-1][1] + 3] for _, c in regions(text) if c][:500] for text in texts]]
+            return [[[t[max(0, c[0][0] - 60) : c[-1][1] + 3] for _, r in regions(t or "") for c in _cut(r)] for t in texts]]
 
         return cut
 
-    pieces = [r for row in map_texts(sample, task, schema, ["doc_id"]).orderBy("doc_id", "regions").collect() for r in row["regions"]]
+    able = docs.select("doc_id", "text").where(F.col("text").rlike("[0-9@]"))
+    rows = max(1, round(1_000_000 * min(1.0, TRAINING_ROWS / max(1, able.count()))))
+    sample = able.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < rows)
+    found = map_texts(sample, task, schema, []).select(F.explode("regions").alias("region"))
+    found = materialize(found.withColumn("h", F.pmod(F.xxhash64("region"), F.lit(1_000_000))), "regions")
+    share = max(1, round(1_000_000 * min(1.0, TRAINING_REGIONS / max(1, found.count()))))
+    pieces = [r["region"] for r in found.where(F.col("h") < share).select("region").distinct().orderBy("region").collect()]
     return train([(p, base_spans(p)) for p in pieces])
 
 
@@ -218,10 +236,11 @@ def find_personal_data(docs: DataFrame, weights: Weights, margin: float = MARGIN
             for text in texts:
                 text = text or ""
                 base = base_spans(text)
+                cover = Cover(base)
                 more = []
                 for before, chunks in regions(text):
                     for span, _, _, gain, _ in decode(text, before, chunks, own):
-                        if gain >= margin and not overlaps(span, base):
+                        if gain >= margin and not cover.overlaps(span):
                             more.append(span)
                 found.append((base, more))
             return found_columns(found, KINDS, KINDS)

@@ -14,7 +14,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from logsonde.llm.common import map_texts
-from logsonde.llm.spans import Span, found_columns, found_type, overlaps, replaced
+from logsonde.llm.spans import Cover, Span, found_columns, found_type, replaced
 
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "random")
@@ -32,6 +32,7 @@ ASSIGN = re.compile(rf"""({NAMES})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""
 ACCESS = re.compile("AKIA[A-Z0-9]+")
 HEX = re.compile("(?<![0-9a-f])[0-9a-f]{24,}")
 CANDIDATE = re.compile(rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{LEAST},}}")
+PART = re.compile("[^=/]+")
 DIGEST = re.compile("(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128})")
 UUID = re.compile("[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}")
 IDENTIFIER = re.compile("[+/_=-]*[A-Za-z]+(?:[+/_=-]+(?:[A-Za-z]+|[0-9]{1,4}))*[0-9]{0,4}[+/_=-]*")
@@ -60,18 +61,31 @@ def base_spans(text: str) -> list[Span]:
     return spans + [("hex", *m.span()) for m in HEX.finditer(text)]
 
 
+def _random(s: str, encoding, known: Collection[str]) -> bool:
+    """Whether a string mixes letters and digits, is nothing known, and gives few characters a token."""
+    if len(s) < LEAST or not any(map(str.isdigit, s)) or not any(map(str.isalpha, s)):
+        return False
+    if s in known or DIGEST.fullmatch(s) or UUID.fullmatch(s) or IDENTIFIER.fullmatch(s):
+        return False
+    return len(s) / len(encoding.encode_ordinary(s)) < RATIO
+
+
 def random_spans(text: str, base: list[Span], encoding, known: Collection[str] = ()) -> list[Span]:
-    """Strings of low token efficiency that are not base spans, digests, UUIDs, identifiers or `known`."""
+    """Strings of low token efficiency that overlap no base span and are no digests, UUIDs, identifiers or `known`.
+
+    A name or path before a value would lift its ratio, so the parts between `=` and `/` are rated by themselves first; the whole string
+    only where none of them is random.
+    """
     out: list[Span] = []
+    cover = Cover(base)
     for m in CANDIDATE.finditer(text):
-        s = m[0]
-        if not any(map(str.isdigit, s)) or not any(map(str.isalpha, s)):
-            continue
-        if s in known or DIGEST.fullmatch(s) or UUID.fullmatch(s) or IDENTIFIER.fullmatch(s):
+        if m[0] in known:
             continue
-        span = ("random", *m.span())
-        if len(s) / len(encoding.encode_ordinary(s)) < RATIO and not overlaps(span, base):
-            out.append(span)
+        parts = [("random", m.start() + p.start(), m.start() + p.end()) for p in PART.finditer(m[0]) if len(p[0]) < len(m[0])]
+        found = [s for s in parts if _random(text[s[1] : s[2]], encoding, known)]
+        if not found and _random(m[0], encoding, known):
+            found = [("random", *m.span())]
+        out += [s for s in found if not cover.overlaps(s)]
     return out
 
 

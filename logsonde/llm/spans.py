@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterable, Sequence
+from itertools import accumulate
 
 from pyspark.sql import types as T
 
@@ -24,8 +26,17 @@ def digest(spans: Iterable[Span]) -> str:
     return hashlib.sha256(joined(spans).encode()).hexdigest()
 
 
-def overlaps(span: Span, others: Iterable[Span]) -> bool:
-    return any(span[1] < b and a < span[2] for _, a, b in others)
+class Cover:
+    """Tells which spans overlap one of the given ones, each in the time of one search."""
+
+    def __init__(self, spans: Iterable[Span]):
+        pairs = sorted((a, b) for _, a, b in spans)
+        self.starts = [a for a, _ in pairs]
+        self.ends = list(accumulate((b for _, b in pairs), max))  # the farthest end up to each start
+
+    def overlaps(self, span: Span) -> bool:
+        before = bisect_left(self.starts, span[2])
+        return before > 0 and self.ends[before - 1] > span[1]
 
 
 def replaced(text: str, spans: Iterable[Span], mark: str) -> str:
