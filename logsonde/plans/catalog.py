@@ -7,12 +7,14 @@ places, counts as BIGINT, times as text, lists as joined text.
 from __future__ import annotations
 
 import operator
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from logsonde.functions.storage import shared_folder
 from logsonde.functions.typing import parse_timestamp, to_number, with_date_parts
 from logsonde.operators import (
     anomalies,
@@ -98,6 +100,19 @@ def _flatten_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(logs.flatten_attributes(events, "props", schema))
 
 
+FILE_COLUMNS = ["TransactionId", "CorrelationId", "SourceSystem", "EventCode", "LatencyMs", "Priority"]
+FILE_KEYS = ["CpuUsage", "Retries", "LocalQps"]
+
+
+@_on_telemetry("src_file")
+def _file(t: DataFrame) -> DataFrame:
+    """All events written as a log file, and read back from the first path that exists, with some of the attributes."""
+    path = f"{shared_folder(t.sparkSession).rstrip('/')}/log-{uuid.uuid4().hex}"
+    logs.write_logs(t, path)
+    back = logs.read_logs(t.sparkSession, [f"{path}-missing", path], attributes=FILE_KEYS)
+    return back.select(*FILE_COLUMNS, *FILE_KEYS)
+
+
 def _json_tolerant(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sound, blank, cut, padded and missing JSON in turn."""
     turn = F.col("event_id") % 5
@@ -300,6 +315,16 @@ _add(
     lambda t: anomalies.recommendations(anomalies.reason_counts(t, "IsAnomaly")),
 )
 
+
+
+@_on_telemetry("ano_written")
+def _written_scores(t: DataFrame) -> DataFrame:
+    """The scores as they are read back from the table that the forest wrote them to."""
+    path = f"{shared_folder(t.sparkSession).rstrip('/')}/scores-{uuid.uuid4().hex}"
+    anomalies.isolation_forest(t, out_path=path)
+    return t.sparkSession.read.parquet(path).select("EventSeq", "Scenario", "IF_AnomalyScore")
+
+
 # -- root cause -----------------------------------------------------------------------------
 
 

@@ -38,6 +38,9 @@ ORACLES["src_limit"] = f"""{cte()}
 SELECT EventSeq, {ts('"Timestamp"', '"Timestamp"')}, SourceSystem, LatencyMs
 FROM t ORDER BY "Timestamp", EventSeq LIMIT 1000"""
 
+ORACLES["src_file"] = f"""{cte()}
+SELECT TransactionId, CorrelationId, SourceSystem, {b("EventCode", "EventCode")}, {b("LatencyMs", "LatencyMs")}, Priority,
+  {r6("CpuUsage", "CpuUsage")}, {b("Retries", "Retries")}, {r6("LocalQps", "LocalQps")} FROM t"""
 ORACLES["src_flatten_json"] = """
 SELECT event_id, event_type, cast(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events"""
 
@@ -733,6 +736,8 @@ flagged AS (SELECT t.EventSeq, SourceSystem, IsAnomaly, (score < cut)::BIGINT AS
 _FLAGGED = cte(_forest())
 ORACLES["ano_iforest"] = f"""{_FLAGGED}
 SELECT EventSeq, SourceSystem, IsAnomaly::BIGINT AS IsAnomaly, IF_Anomaly, {r6("IF_AnomalyScore", "IF_AnomalyScore")} FROM flagged"""
+ORACLES["ano_written"] = f"""{_FLAGGED}
+SELECT EventSeq, Scenario, {r6("IF_AnomalyScore", "IF_AnomalyScore")} FROM flagged JOIN t USING (EventSeq)"""
 ORACLES["ano_scores"] = f"""{_FLAGGED}, q AS (SELECT {_confusion("IF_Anomaly = 1", "coalesce(IsAnomaly = 1, false)")} FROM flagged)
 SELECT 'IF_Anomaly' AS prediction, *, {_RATIOS} FROM q"""
 
