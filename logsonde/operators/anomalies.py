@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from logsonde.functions.quantiles import quantiles
 from logsonde.functions.scoring import confusion, with_scores
-from logsonde.functions.storage import materialize
+from logsonde.functions.storage import fix_row, materialize
 from logsonde.functions.typing import to_number
 from logsonde.operators import forest as iforest
 from logsonde.schema import MODEL_FEATURES
@@ -49,11 +49,15 @@ def impute(df: DataFrame, features: Sequence[str] = MODEL_FEATURES) -> DataFrame
     )
 
 
-def standardize(df: DataFrame, features: Sequence[str] = MODEL_FEATURES, prefix: str = "z_") -> DataFrame:
-    """`df` with (x - mean) / population standard deviation per feature; a deviation of 0 counts as 1."""
+def standardize(df: DataFrame, features: Sequence[str] = MODEL_FEATURES, prefix: str = "z_", fixed: bool = False) -> DataFrame:
+    """`df` with (x - mean) / population standard deviation per feature; a deviation of 0 counts as 1.
+
+    `fixed` computes means and deviations now; else every action on the result does so again.
+    """
     moments = df.agg(
         *[f(c).alias(f"{c}__{s}") for c in features for f, s in ((F.avg, "mean"), (F.stddev_pop, "std"))]
     )
+    moments = fix_row(moments) if fixed else moments
     scaled = {
         f"{prefix}{c}": (F.col(c) - F.col(f"{c}__mean")) / F.coalesce(F.nullif(f"{c}__std", F.lit(0.0)), F.lit(1.0))
         for c in features

@@ -51,9 +51,9 @@ def feature_rows(df: DataFrame, features: Sequence[str] = MODEL_FEATURES) -> Dat
 
 
 def feature_vectors(df: DataFrame, features: Sequence[str] = MODEL_FEATURES, output: str = "features") -> DataFrame:
-    """`feature_rows` with an array of standardised features."""
+    """`feature_rows` with an array of standardised features. Means and deviations are computed here, once for all that follows."""
     present = [c for c in features if c in df.columns]
-    scaled = standardize(feature_rows(df, features), present)
+    scaled = standardize(feature_rows(df, features), present, fixed=True)
     names = [f"z_{c}" for c in present]
     return scaled.withColumn(output, F.array(*[F.col(c).cast("double") for c in names])).drop(*names)
 
@@ -247,7 +247,8 @@ def assign(vectors: DataFrame, models: dict[int, Centres]) -> DataFrame:
 
 def by_k(assigned: DataFrame) -> DataFrame:
     """One row per event and k: k, cluster and the columns of the event."""
-    return assigned.select("*", F.inline("clusters")).drop("clusters")
+    # The inner form filters empty lists first, and computes the clusters a second time for that.
+    return assigned.select("*", F.inline_outer("clusters")).drop("clusters").where("k IS NOT NULL")
 
 
 def sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:

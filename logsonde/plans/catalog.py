@@ -14,7 +14,7 @@ from functools import reduce
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from logsonde.functions.storage import shared_folder
+from logsonde.functions.storage import materialize, shared_folder
 from logsonde.functions.typing import parse_timestamp, to_number, with_date_parts
 from logsonde.operators import (
     anomalies,
@@ -506,9 +506,15 @@ _add(
 _FITTED: dict[tuple, dict] = {}
 
 
+def _vectors(t: DataFrame) -> DataFrame:
+    """The columns that segments need, written once: each pass, and the filter of incomplete rows, would work the view out again."""
+    flags = ["EventCode", "IsAnomaly", "IsSpikeByLatency", "IsSpikeByCpu", "IsSpikeByQps"]
+    return segments.feature_vectors(materialize(t.select("EventSeq", *MODEL_FEATURES, *flags), "segment-events"))
+
+
 def _fitted(t: DataFrame) -> tuple[DataFrame, dict]:
     """The events with their clusters, and the models. Models are kept for a session, by the content of what they were fitted on."""
-    vectors = segments.feature_vectors(t)
+    vectors = _vectors(t)
     total = F.sum(F.xxhash64("features").cast("decimal(38,0)"))
     at = (t.sparkSession.sparkContext.applicationId, *vectors.agg(F.count("*"), total).first())
     if at not in _FITTED:
@@ -518,7 +524,7 @@ def _fitted(t: DataFrame) -> tuple[DataFrame, dict]:
 
 def _passed(t: DataFrame) -> DataFrame:
     """The events with the clusters of CLUSTER_PASSES passes from the first events as centres, which SQL can follow."""
-    vectors = segments.feature_vectors(t)
+    vectors = _vectors(t)
     first = [r["features"] for r in vectors.orderBy("EventSeq").limit(max(segments.K_VALUES)).select("features").collect()]
     initial = {k: np.array(first[:k]) for k in segments.K_VALUES}
     return segments.assign(vectors, segments.fit_kmeans(vectors, max_iterations=CLUSTER_PASSES, initial=initial))
