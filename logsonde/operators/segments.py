@@ -73,20 +73,25 @@ def _lloyd(x: np.ndarray, models: list[np.ndarray]) -> tuple[list[np.ndarray], l
     edges = np.cumsum([0, *map(len, models)])
     sums, counts = np.zeros_like(all_centres), np.zeros(len(all_centres))
     costs = np.zeros(len(models))
-    squares = (all_centres**2).sum(1)
+    squares = (all_centres**2).sum(1)[:, None]
+    # A line for each centre, so that numpy goes along the rows.
+    nearest = np.empty((len(all_centres), min(len(x), BLOCK_ROWS)))
     for a in range(0, len(x), BLOCK_ROWS):
         rows = x[a : a + BLOCK_ROWS]
-        far = squares - 2 * (rows @ all_centres.T)
+        n = len(rows)
+        far = squares - 2 * (all_centres @ rows.T)
         own = (rows**2).sum()
-        nearest = np.zeros(far.shape)
-        at = np.arange(len(rows))
         for i in range(len(models)):
-            part = far[:, edges[i] : edges[i + 1]]
-            low = part.argmin(1)
-            nearest[at, edges[i] + low] = 1.0
-            costs[i] += part[at, low].sum() + own
-        sums += nearest.T @ rows
-        counts += nearest.sum(0)
+            part = far[edges[i] : edges[i + 1]]
+            low = part.min(0)
+            cost = low.sum()
+            at_low = part == low
+            if np.count_nonzero(at_low) != n or np.isnan(cost):  # the first of equals
+                at_low = np.arange(len(part))[:, None] == part.argmin(0)
+            nearest[edges[i] : edges[i + 1], :n] = at_low
+            costs[i] += cost + own
+        sums += nearest[:, :n] @ rows
+        counts += nearest[:, :n].sum(1)
     cut = edges[1:-1]
     return np.split(sums, cut), np.split(counts, cut), costs.tolist()
 
@@ -174,7 +179,9 @@ def fit_kmeans(
                 parts = [x[i : i + BLOCK_ROWS].tobytes() for i in range(0, len(x), BLOCK_ROWS)]
                 yield pa.record_batch([pa.array(parts, pa.binary())], names=["block"])
 
-    blocks = materialize(rows.mapInArrow(pack, "block binary"), "segment-blocks")
+    # Dealt evenly: a pass takes as long as the task with the most rows, however few tasks read the vectors.
+    packed = rows.mapInArrow(pack, "block binary").repartition(vectors.sparkSession.sparkContext.defaultParallelism)
+    blocks = materialize(packed, "segment-blocks")
     moving, passes = list(range(len(models))), [0] * len(models)
     for _ in range(max_iterations):
         if not moving:

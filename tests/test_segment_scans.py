@@ -31,3 +31,27 @@ def test_clusters_are_computed_once(spark):
     assert {(r["EventSeq"], r["k"]): r["cluster"] for r in found.collect()} == want
     none = vectors.withColumn("clusters", F.expr("CAST(array() AS array<struct<k: int, cluster: int>>)"))
     assert segments.by_k(none).count() == 0
+
+
+def test_blocks_of_one_task_go_to_several(spark, monkeypatch):
+    seen = []
+    before = segments._pass
+
+    def scan(blocks, models):
+        seen.append(len(blocks.inputFiles()))
+        return before(blocks, models)
+
+    monkeypatch.setattr(segments, "_pass", scan)
+    x = F.array((F.col("id") % 97).cast("double"), (F.col("id") % 31).cast("double"))
+    vectors = spark.range(0, 12 * segments.BLOCK_ROWS, 1, 1).select(x.alias("features"))
+    segments.fit_kmeans(vectors, [2], initial={2: np.array([[0.0, 0.0], [90.0, 30.0]])}, max_iterations=1)
+    assert min(seen) > 1
+
+
+def test_a_row_as_near_to_two_centres_belongs_to_the_first():
+    x = np.array([[1.0, 0.0], [0.0, 0.0], [2.0, 0.0], [1.0, 3.0]])
+    models = [np.array([[0.0, 0.0], [2.0, 0.0]]), np.array([[2.0, 0.0], [2.0, 0.0], [0.0, 0.0]])]
+    sums, counts, costs = segments._lloyd(x, models)
+    assert [c.tolist() for c in counts] == [[3, 1], [3, 0, 1]]
+    assert [s.tolist() for s in sums] == [[[2, 3], [2, 0]], [[4, 3], [0, 0], [0, 0]]]
+    np.testing.assert_allclose(costs, [1 + 0 + 0 + 10, 1 + 0 + 0 + 10])
