@@ -302,19 +302,26 @@ def _edges(rooted: DataFrame, runs: range, threshold: float) -> DataFrame:
         )
         # All buckets are joined and written, so that as many rows come out as go in, whatever the buckets' sizes.
         members = materialize(nodes.drop("root").join(buckets, "path"), f"buckets-{depth}").where("low < high")
-        small = members.where(F.col("n") <= BUCKET).select("path", "node").join(sketched.drop("root"), "node")
+        small = _sketched(members.where(F.col("n") <= BUCKET), sketched.drop("root"))
         bits = small.select("path", "node", "sketch").repartition("path").sortWithinPartitions("path", "node")
         found = in_tasks(bits, compare, "a long, b long")
         large = members.where(F.col("n") > BUCKET)
         if depth + DEEPER > GREATEST_DEPTH:
             found = found.union(large.select(F.col("node").alias("a"), F.col("least").alias("b")))
         else:
-            nodes = in_tasks(large.select("path", "node").join(sketched, "node"), deeper, "path long, node long, root long")
+            nodes = in_tasks(_sketched(large, sketched), deeper, "path long, node long, root long")
         found = materialize(found.distinct(), f"candidates-{depth}")
         edges = found if edges is None else edges.union(found)
     return edges
 
 
+def _sketched(members: DataFrame, sketched: DataFrame) -> DataFrame:
+    """`members` (path, node) with the columns of `sketched`: one row of the join for each set, whatever the number of its paths, which
+    the tree bounds."""
+    paths = members.groupBy("node").agg(F.collect_list("path").alias("paths"))
+    return paths.join(sketched, "node").withColumn("path", F.explode("paths")).drop("paths")
+
+
 def _matrix(column: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(column), np.uint32).reshape(len(column), PLACES)
 

@@ -237,3 +237,13 @@ def test_the_pipeline_stage_by_stage(spark, sf_dir, tmp_path):
         else:
             assert {r["doc_id"] for r in now} == set(was)
         before = after
+
+
+def test_sketches_are_joined_once_for_each_set(spark):
+    members = spark.createDataFrame([(10 * n + p, n) for n in range(5) for p in range(6)], "path long, node long").repartition(2)
+    sketched = spark.createDataFrame([(n, bytes([n]), n // 2) for n in range(9)], "node long, sketch binary, root long")
+    got = ngram_join._sketched(members, sketched)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("Join Inner")  # the copies come after the join
+    want = sorted((10 * n + p, n, bytes([n]), n // 2) for n in range(5) for p in range(6))
+    assert sorted((r["path"], r["node"], bytes(r["sketch"]), r["root"]) for r in got.collect()) == want
