@@ -1,6 +1,7 @@
 """Linear models fitted in a few scans: balanced logistic regressions by Newton steps, ridge regression by its normal equations.
 
-Encoded rows are written once, as blocks of numbers, category codes and targets. A scan returns one row of sums from each task, as large as the
+Encoded rows are written once, as blocks of numbers, category codes and targets. Blocks are short: Spark reads thousands of written rows
+at a time, so a task's memory does not depend on the rows of its file. A scan returns one row of sums from each task, as large as the
 square of the number of features, for all models that still move: loss, gradient and Hessian of each logistic model, or the
 Gram matrix of a regression. The driver solves systems of that size only.
 """
@@ -18,7 +19,12 @@ from logsonde.functions.shipping import ship_package
 from logsonde.functions.storage import materialize
 from logsonde.functions.typing import to_number
 
-BLOCK_ROWS = 8192
+#: Bytes of a block (a longer row is one of its own). 4,096 blocks of a file are read at a time, and 10,000 go to Python in a batch.
+BLOCK_BYTES = 1024
+#: Bytes of a row group and of a page, of which a task holds a whole one.
+GROUP_BYTES, PAGE_BYTES = 1 << 24, 1 << 18
+#: Rows that Python expands at a time.
+CHUNK_ROWS = 8192
 #: A logistic fit ends when its gradient is this small beside its terms, or after so many scans.
 SETTLED = 1e-10
 MAX_SCANS = 100
@@ -86,28 +92,35 @@ def encode(df: DataFrame, encoding: Encoding, targets: Sequence[str], is_test: s
                 continue
             test = batch.column(0).to_numpy(zero_copy_only=False)
             flat = [batch.column(i).flatten().to_numpy(zero_copy_only=False).reshape(n, -1) for i in (1, 2, 3)]
+            flat[1] = flat[1].astype(np.int16)
+            block_rows = max(1, BLOCK_BYTES // max(1, sum(x.itemsize * x.shape[1] for x in flat)))
             out = []
             for side in (False, True):
                 at = np.flatnonzero(test == side)
-                for a in range(0, len(at), BLOCK_ROWS):
-                    own = at[a : a + BLOCK_ROWS]
-                    numbers, codes, marked = (x[own] for x in flat)
-                    out.append((side, len(own), numbers.tobytes(), codes.astype(np.int16).tobytes(), marked.tobytes()))
+                parts = [x[at] for x in flat]
+                for a in range(0, len(at), block_rows):
+                    own = [x[a : a + block_rows] for x in parts]
+                    out.append((side, len(own[0]), *(x.tobytes() for x in own)))
             kinds = [pa.bool_(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
             arrays = [pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)]
             yield pa.record_batch(arrays, names=["is_test", "n", "numbers", "codes", "targets"])
 
     schema = "is_test boolean, n int, numbers binary, codes binary, targets binary"
-    return materialize(rows.mapInArrow(pack, schema), "encoded-rows")
+    sizes = {"parquet.block.size": GROUP_BYTES, "parquet.page.size": PAGE_BYTES}
+    return materialize(rows.mapInArrow(pack, schema), "encoded-rows", options=sizes)
 
 
 def _unpacked(batch: pa.RecordBatch, encoding: Encoding) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    columns = [batch.column(batch.schema.get_field_index(c)) for c in ("n", "numbers", "codes", "targets")]
-    for n, numbers, codes, targets in zip(*columns, strict=True):
-        n = n.as_py()
-        numbers = np.frombuffer(numbers.as_buffer()).reshape(n, -1)
-        codes = np.frombuffer(codes.as_buffer(), np.int16).reshape(n, -1)
-        yield encoding.expand(numbers, codes), np.frombuffer(targets.as_buffer()).reshape(n, -1)
+    """The features and targets of the rows of many blocks together, at most CHUNK_ROWS (or one block) at a time."""
+    counts = batch.column(batch.schema.get_field_index("n")).to_numpy()
+    step = max(1, CHUNK_ROWS // int(counts.max(initial=1)))
+    for a in range(0, len(counts), step):
+        part, n = batch.slice(a, step), int(counts[a : a + step].sum())
+        numbers, codes, targets = (
+            np.frombuffer(b"".join(part.column(part.schema.get_field_index(c)).to_pylist()), kind).reshape(n, -1)
+            for c, kind in (("numbers", np.float64), ("codes", np.int16), ("targets", np.float64))
+        )
+        yield encoding.expand(numbers, codes), targets
 
 
 def _summed(blocks: DataFrame, encoding: Encoding, sums) -> np.ndarray:

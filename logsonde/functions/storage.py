@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,10 +30,10 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """`df` written as Parquet and read back: computed once, and safe if an executor is lost."""
+def materialize(df: DataFrame, name: str, path: str | None = None, options: Mapping[str, int] | None = None) -> DataFrame:
+    """`df` written as Parquet (with the writer's `options`) and read back: computed once, and safe if an executor is lost."""
     path = path or f"{shared_folder(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").options(**(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
